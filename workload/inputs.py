@@ -41,12 +41,12 @@ def _documents(products, reviews, info):
         F.collect_list(F.struct("Author", "Content", "Date", "Overall", "ReviewID", "Title")).alias("Reviews")
     )
     return products.join(nested, F.col("p_partkey") == F.col("l_partkey"), "left").select(
-        info.alias("ProductInfo"), "Reviews", "p_partkey"
+        info.alias("ProductInfo"), "Reviews"
     )
 
 
-_STARS = F.concat(F.floor((F.col("l_quantity") - 1) / 10) + 1, F.lit(".0"))
-_INFO = F.struct("Features", "ImgURL", "Name", "Price", "ProductID")
+def _stars():
+    return F.concat(F.floor((F.col("l_quantity") - 1) / 10) + 1, F.lit(".0"))
 
 
 def _review_columns(author, date, overall):
@@ -63,11 +63,12 @@ def _review_columns(author, date, overall):
 
 def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Clean documents; reviews on line 7 carry no rating."""
-    overall = F.when(F.col("l_linenumber") == 7, "None").otherwise(_STARS)
+    overall = F.when(F.col("l_linenumber") == 7, "None").otherwise(_stars())
     reviews = _lines(spark, folder).select(
         *_review_columns(F.col("c_name"), F.date_format("l_shipdate", "MMMM dd, yyyy"), overall)
     )
-    return _documents(_product_info(spark, folder), reviews, _INFO).drop("p_partkey")
+    info = F.struct("Features", "ImgURL", "Name", "Price", "ProductID")
+    return _documents(_product_info(spark, folder), reviews, info)
 
 
 def dirty_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,7 +89,7 @@ def dirty_documents(spark: SparkSession, folder: str) -> DataFrame:
     }
     ratings = {1: "None", 2: None, 3: "five", 4: " 4 ", 5: "5d", 6: "", 7: "nan"}
     date = F.coalesce(*[F.when(kind == k, v) for k, v in dates.items() if k], F.when(kind != 0, long_date))
-    overall = _STARS
+    overall = _stars()
     for line, text in ratings.items():
         spoilt = (F.col("l_linenumber") == line) & (F.col("l_quantity") < 40)
         overall = F.when(spoilt, F.lit(text)).otherwise(overall)
@@ -103,7 +104,7 @@ def dirty_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
     documents = _documents(_product_info(spark, folder), reviews, info)
     with_gap = F.concat("Reviews", F.array(F.lit(None).cast(documents.schema["Reviews"].dataType.elementType)))
-    return documents.withColumn("Reviews", with_gap).drop("p_partkey")
+    return documents.withColumn("Reviews", with_gap)
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
