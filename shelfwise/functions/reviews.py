@@ -8,7 +8,7 @@ MONTHS = [
     "july", "august", "september", "october", "november", "december",
 ]
 # Fixed value: "month day, year", blanks before a number allowed, anything after it ignored.
-DATE_PATTERN = r"^[ \t]*([A-Za-z]+) [ \t]*(-?\d+), [ \t]*(\d+)"
+DATE_PATTERN = r"(?s)^[ \t]*([A-Za-z]+) [ \t]*(-?\d+), [ \t]*(\d+)"
 # Fixed value: the rating text that stands for "no rating".
 NO_RATING = "None"
 
@@ -21,21 +21,24 @@ def review_date(text: Column) -> Column:
 
     Days past the end of a month roll over into the next one (February 30 is March 1 or 2).
     """
+    pieces = F.split(F.regexp_replace(text, DATE_PATTERN + ".*", "$1 $2 $3"), " ")
 
-    def number(group, limit):
-        value = F.regexp_extract(text, DATE_PATTERN, group).try_cast("int")
-        return F.when(F.abs(value) <= limit, value)
-
-    word = F.lower(F.regexp_extract(text, DATE_PATTERN, 1))
-    month = F.coalesce(
-        *[
-            F.nullif(F.array_position(F.array(*map(F.lit, names)), word), F.lit(0))
-            for names in (MONTHS, [m[:3] for m in MONTHS])
-        ]
-    )
-    year, day = number(3, _MAX_YEAR), number(2, _MAX_DAY)
-    first = F.make_date(F.when(year >= 1, year), month.cast("int"), F.lit(1))
-    return F.date_add(first, day - 1).cast("timestamp")
+    def build(part):
+        word = F.lower(F.get(part, F.lit(0)))
+        month = F.greatest(
+            *[F.array_position(F.array(*map(F.lit, m)), word) for m in (MONTHS, [m[:3] for m in MONTHS])]
+        )
+        day, year = (F.get(part, F.lit(i)).try_cast("int") for i in (1, 2))
+        sound = year.between(1, _MAX_YEAR) & day.between(-_MAX_DAY, _MAX_DAY) & (month > 0)
+        first = F.make_date(year, month.cast("int"), F.lit(1))
+        return F.when(sound, F.date_add(first, day - 1).cast("timestamp"))
+
+    return _bound(F.when(text.rlike(DATE_PATTERN), pieces), build)
+
+
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def review_rating(text: Column) -> Column:

@@ -15,10 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Scores held at once by a task while a batch passes a left block.
-SCORES_IN_MEMORY = 4_000_000
-
-
 @dataclass(frozen=True)
 class Grid:
     blocks: int
@@ -30,23 +26,26 @@ class Grid:
 
 
 def plan_grid(
-    n_left: int, n_right: int, left_bytes: int, right_bytes: int, k: int, width: int,
-    max_block: int = 65_536, cell_pairs: int = 20_000_000, max_cell_pairs: int = 10**11,
+    n_left: int, n_right: int, left_bytes: float, right_bytes: float, k: int, width: int,
+    work: float | None = None, max_block: int = 65_536,
+    cell_work: float = 2e7, max_cell_work: float = 1e11,
 ) -> Grid:
     """Choose the grid that ships least.
 
     The right side is copied once per block; the left side and k results per left row are
-    shipped once per strip. ``width`` tasks are used as soon as the work justifies it, more when
-    a cell would otherwise hold over ``max_cell_pairs`` pairs.
+    shipped once per strip. ``work`` is the cost of all cells, by default one per pair. ``width``
+    tasks are used as soon as the work justifies it, more when a cell would otherwise exceed
+    ``max_cell_work``.
     """
     n_left, n_right = max(n_left, 1), max(n_right, 1)
-    pairs = n_left * n_right
-    cells = max(1, min(pairs // cell_pairs, max(width, pairs // max_cell_pairs)))
+    work = work or n_left * n_right
+    cells = max(1, min(int(work / cell_work), max(width, int(work / max_cell_work))))
     per_strip = n_left * (left_bytes + 24 * k)
-    strips = round(math.sqrt(n_right * cells * right_bytes / per_strip))
-    strips = min(max(1, strips), cells)
-    blocks = max(math.ceil(cells / strips), math.ceil(n_left / max_block))
-    return Grid(blocks, max(1, min(strips, math.ceil(cells / blocks))))
+    best = math.sqrt(n_right * cells * right_bytes / per_strip)
+    fewest = math.ceil(n_left / max_block)
+    fitting = [d for d in range(1, cells // fewest + 1) if cells % d == 0] or [1]
+    strips = min(fitting, key=lambda d: abs(math.log(d / best)))
+    return Grid(max(cells // strips, fewest), strips)
 
 
 class BestK:

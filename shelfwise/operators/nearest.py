@@ -4,11 +4,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.operators.cells import SCORES_IN_MEMORY, BestK, Grid, best_pairs, plan_grid
+from shelfwise.operators.cells import BestK, Grid, best_pairs, plan_grid
 from shelfwise.session import parallelism
 
-# Vectors per packed row.
+# Vectors per packed row, and scores held at once by a task.
 TILE = 1024
+SCORES_IN_MEMORY = 4_000_000
 
 
 def topk_dot(

@@ -7,9 +7,10 @@ from shelfwise.functions.reviews import rating_is_acceptable, review_date, revie
 
 
 def parsed_documents(raw: DataFrame) -> DataFrame:
-    """Keyed documents with the cleaned product record and the raw reviews beside it.
+    """``product, reviews``: the product record of each document and its accepted reviews.
 
-    Documents without a product id go, with all their reviews.
+    Documents without a product id go, with all their reviews. Reviews are parsed inside their
+    array, each text once.
     """
     info = F.col("ProductInfo")
     product = F.struct(
@@ -20,7 +21,25 @@ def parsed_documents(raw: DataFrame) -> DataFrame:
         info.Features.alias("features"),
         info.ImgURL.alias("imgUrl"),
     )
-    return raw.where(info.ProductID.isNotNull()).select(product.alias("product"), "Reviews")
+    acceptable = F.filter("Reviews", lambda r: r.Author.isNotNull() & rating_is_acceptable(r.Overall))
+    parsed = F.transform(acceptable, _parsed_review)
+    dated = F.filter(parsed, lambda r: r.dateText.isNull() | r.date.isNotNull())
+    return raw.where(info.ProductID.isNotNull()).select(
+        product.alias("product"), dated.alias("reviews")
+    )
+
+
+def _parsed_review(r):
+    return F.struct(
+        r.Author.alias("author"),
+        r.ReviewID.alias("reviewId"),
+        string_id(r.Author).alias("userId"),
+        r.Title.alias("title"),
+        review_rating(r.Overall).alias("overall"),
+        r.Content.alias("content"),
+        r.Date.alias("dateText"),
+        review_date(r.Date).alias("date"),
+    )
 
 
 def products(parsed: DataFrame) -> DataFrame:
@@ -29,43 +48,34 @@ def products(parsed: DataFrame) -> DataFrame:
 
 
 def accepted_reviews(parsed: DataFrame) -> DataFrame:
-    """Reviews that survive parsing, still with the author's name.
+    """Reviews that survive parsing, one per row, still with the author's name.
 
     Dropped: a null review, a null author, a date text that is no date, and a rating that is
-    neither "None" nor a number. A null date and a "None" rating stay, as null values.
+    neither "None" nor a number. A null date and a "None" rating stay, as null values. The outer
+    explode keeps the optimizer from testing the array's size, which would parse it a second time.
     """
     r = F.col("r")
-    exploded = parsed.select(F.col("product.id").alias("productId"), F.explode("Reviews").alias("r"))
-    readable = exploded.where(r.Author.isNotNull() & rating_is_acceptable(r.Overall))
-    dated = readable.withColumn("date", review_date(r.Date))
-    return dated.where(r.Date.isNull() | F.col("date").isNotNull()).select(
-        r.Author.alias("author"),
-        r.ReviewID.alias("reviewId"),
-        "productId",
-        r.Title.alias("title"),
-        review_rating(r.Overall).alias("overall"),
-        r.Content.alias("content"),
-        "date",
+    return (
+        parsed.select(F.col("product.id").alias("productId"), "reviews")
+        .select("productId", F.explode_outer("reviews").alias("r"))
+        .where(r.isNotNull())
+        .select(
+            r.author.alias("author"), r.reviewId.alias("reviewId"), r.userId.alias("userId"),
+            "productId", r.title.alias("title"), r.overall.alias("overall"),
+            r.content.alias("content"), r.date.alias("date"),
+        )
     )
 
 
 def users(accepted: DataFrame) -> DataFrame:
-    """Distinct authors. Names come first, so that each is hashed once."""
-    return accepted.select(F.col("author").alias("extId")).distinct().select(
-        string_id(F.col("extId")).alias("id"), "extId"
-    )
+    """Distinct authors over all documents."""
+    return accepted.select(F.col("userId").alias("id"), F.col("author").alias("extId")).distinct()
 
 
 def reviews(accepted: DataFrame) -> DataFrame:
     """Reviews distinct over all their columns."""
     return accepted.select(
-        "reviewId",
-        string_id(F.col("author")).alias("userId"),
-        "productId",
-        "title",
-        "overall",
-        "content",
-        "date",
+        "reviewId", "userId", "productId", "title", "overall", "content", "date"
     ).distinct()
 
 

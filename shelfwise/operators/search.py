@@ -6,7 +6,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions.text import inverse_document_frequency, saturation, tokens
-from shelfwise.operators.cells import SCORES_IN_MEMORY, BestK, Grid, best_pairs, plan_grid
+from shelfwise.operators.cells import BestK, Grid, best_pairs, plan_grid
 from shelfwise.operators.recs import ANSWER_ITEMS
 from shelfwise.operators.text_index import TextIndex, heavy_terms, join_by_term
 from shelfwise.session import parallelism, staged
@@ -15,9 +15,11 @@ from shelfwise.session import parallelism, staged
 K1, B = 1.2, 0.75
 MAX_QUERY_TERMS, MIN_TERM_FREQ, MIN_DOC_FREQ, MIN_SHOULD_MATCH = 25, 2, 5, 0.3
 
-# Largest number of requests in one block, and postings looked at in one step.
+# Largest number of requests in one block, postings taken up in one step, and scores held at
+# once: small enough that the working arrays stay in the processor's cache.
 MAX_REQUESTS = 4096
-POSTINGS_PER_STEP = 200_000
+POSTINGS_PER_STEP = 100_000
+SCORES_IN_MEMORY = 300_000
 
 
 def text_terms(requests: DataFrame, key: str = "key") -> DataFrame:
@@ -66,22 +68,22 @@ def relevant(
 
     With several fields the best field's score counts. Each posting is sent only to the request
     blocks that hold its term, with its finished weight, and a block adds up its own documents:
-    (request, document) pairs are never rows.
+    (request, document) pairs are never rows. Terms travel as hash values; a block checks that
+    its own terms keep apart.
     """
     spark = index.postings.sparkSession
     width = parallelism(spark)
     request_terms = staged(request_terms, "request-terms")
-    n_requests = request_terms.select("id").distinct().count()
-    n_docs = index.stats.where(F.col("field").isin(fields)).agg(F.max("n_docs")).first()[0] or 0
-    grid = grid or plan_grid(n_requests, n_docs, 1024, 1024, n, width, max_block=MAX_REQUESTS)
+    grid = grid or _grid(index, request_terms, fields, n, width)
 
     block = F.pmod(F.xxhash64("id"), F.lit(grid.blocks)).cast("int")
     strip = F.pmod(F.xxhash64("id"), F.lit(grid.strips)).cast("int")
     asked = request_terms.withColumn("block", block)
     cell = (F.col("block") * grid.strips + F.col("strip")).cast("int").alias("cell")
+    word = F.xxhash64("term").alias("word")
 
     left = asked.withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(grid.strips - 1)))).select(
-        cell, F.col("id").cast("long"), F.lit(0).alias("part"), "term",
+        cell, F.col("id").cast("long"), F.lit(0).alias("part"), word, "term",
         F.col("need").cast("double").alias("weight"),
     )
     part = F.array_position(F.array(*map(F.lit, fields)), F.col("field")).cast("int") - 1
@@ -100,7 +102,10 @@ def relevant(
     right = (
         join_by_term(index.postings.where(in_fields), routes, heavy_terms(index, width))
         .withColumn("strip", strip)
-        .select(cell, F.col("id").cast("long"), part.alias("part"), "term", weight.alias("weight"))
+        .select(
+            cell, F.col("id").cast("long"), part.alias("part"), word,
+            F.lit(None).cast("string").alias("term"), weight.alias("weight"),
+        )
     )
     n_fields = len(fields)
 
@@ -108,54 +113,66 @@ def relevant(
         ids, row = np.unique(table.column("id").to_numpy(), return_inverse=True)
         need = np.ones(ids.size)
         need[row] = table.column("weight").to_numpy()
-        words = table.column("term").combine_chunks().dictionary_encode()
-        vocabulary = words.dictionary
-        word = words.indices.to_numpy()
-        by_word = np.argsort(word, kind="stable")
-        askers = row[by_word]
-        first = np.searchsorted(word[by_word], np.arange(len(vocabulary) + 1))
-        count = np.diff(first)
+        words = table.column("word").to_numpy()
+        by_word = np.argsort(words, kind="stable")
+        askers = row[by_word].astype(np.int64)
+        vocabulary, first = np.unique(words[by_word], return_index=True)
+        if vocabulary.size != pc.count_distinct(table.column("term")).as_py():
+            raise ValueError("two terms of one block share a hash value; use another grid")
+        count = np.diff(np.append(first, words.size))
         width = max(1, SCORES_IN_MEMORY // (ids.size * n_fields))
 
         def offer(best: BestK, postings: pa.Table):
             doc_ids, doc = np.unique(postings.column("id").to_numpy(), return_inverse=True)
-            term = pc.index_in(postings.column("term"), value_set=vocabulary)
-            term = term.combine_chunks().to_numpy(zero_copy_only=False)
+            term = np.searchsorted(vocabulary, postings.column("word").to_numpy())
             part, weight = (postings.column(c).to_numpy() for c in ("part", "weight"))
             bounds = np.searchsorted(doc, np.arange(0, doc_ids.size + width, width))
             for at, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
                 some = doc_ids[at * width : (at + 1) * width]
                 if not some.size:
                     continue
-                shape = (n_fields, ids.size, some.size)
                 n = count[term[lo:hi]]
-                posting = np.repeat(np.arange(lo, hi), n)
-                nth = np.arange(posting.size) - np.repeat(np.cumsum(n) - n, n)
-                asker = askers[first[term[posting]] + nth]
-                spot = (part[posting] * ids.size + asker) * some.size + doc[posting] - at * width
+                # Every posting once per request that asks for its term.
+                start = first[term[lo:hi]] - (np.cumsum(n) - n)
+                spot = askers[np.arange(n.sum()) + np.repeat(start, n)] * some.size
+                place = part[lo:hi] * (ids.size * some.size) + doc[lo:hi] - at * width
+                spot += np.repeat(place, n)
+                shape = (n_fields, ids.size, some.size)
                 size = n_fields * ids.size * some.size
-                scores = np.bincount(spot, weight[posting], size).reshape(shape)
+                scores = np.bincount(spot, np.repeat(weight[lo:hi], n), size).reshape(shape)
                 if need.max() > 1:
                     scores[np.bincount(spot, minlength=size).reshape(shape) < need[:, None]] = 0
                 scores = scores.max(axis=0)
-                counts = scores > 0
                 if skip_self:
                     own = np.flatnonzero(np.isin(some, ids))
-                    counts[np.searchsorted(ids, some[own]), own] = False
+                    scores[np.searchsorted(ids, some[own]), own] = 0
+                counts = scores > 0
                 if digits is not None:
                     scores = np.round(scores, digits)
                 best.offer(np.where(counts, scores, -np.inf), some)
 
         return ids, offer
 
-    found = best_pairs(
-        left, right, grid, n, open_cell, ["id", "part", "term"], POSTINGS_PER_STEP
-    )
+    order = ["id", "part", "word"]
+    found = best_pairs(left, right, grid, n, open_cell, order, POSTINGS_PER_STEP)
     id_type = request_terms.schema["id"].dataType
     doc_type = index.postings.schema["id"].dataType
     return found.select(F.col("id").cast(id_type), F.col("pid").cast(doc_type), "r")
 
 
+def _grid(index, request_terms, fields, n, width):
+    """Cells by the pairs to rank and the postings to read."""
+    n_requests, n_terms = request_terms.agg(F.count_distinct("id"), F.count("*")).first()
+    n_docs, n_postings = (
+        index.stats.where(F.col("field").isin(fields)).agg(F.max("n_docs"), F.sum("n_postings")).first()
+    )
+    n_docs, n_postings = n_docs or 1, n_postings or 1
+    return plan_grid(
+        n_requests, n_docs, 40 * n_terms / max(n_requests, 1), 40 * n_postings / n_docs, n, width,
+        work=4 * n_requests * n_docs + 50 * n_postings, max_block=MAX_REQUESTS,
+    )
+
+
 def ranked(pairs: DataFrame, key: str) -> DataFrame:
     """``id, pid, r`` rows as answer rows ``key, rank, productId, rating``."""
     order = Window.partitionBy("id").orderBy(F.desc("r"), "pid")

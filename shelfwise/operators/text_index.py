@@ -33,14 +33,16 @@ def postings(catalog: DataFrame, fields=FIELDS) -> DataFrame:
     """Term counts per document and field.
 
     Making ids unique has already placed each document in one partition by ``id``, and counting
-    by (id, field, term) is satisfied with that, so it takes no further shuffle.
+    by (id, field, term) is satisfied with that, so it takes no further shuffle. The outer explode
+    keeps the optimizer from testing the number of tokens, which would split each text twice.
     """
     texts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     return (
         one_per_id(catalog.select("id", *fields))
         .select("id", F.explode(texts).alias("x"))
         .select("id", "x.field", tokens(F.col("x.text")).alias("tokens"))
-        .select("id", "field", F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
+        .select("id", "field", F.size("tokens").alias("dl"), F.explode_outer("tokens").alias("term"))
+        .where("term IS NOT NULL")
         .groupBy("id", "field", "term")
         .agg(F.count("*").cast("int").alias("tf"), F.first("dl").alias("dl"))
     )
