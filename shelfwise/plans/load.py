@@ -25,18 +25,23 @@ def normalized(raw: DataFrame) -> Tables:
     return Tables(normalize.products(parsed), normalize.users(accepted), normalize.reviews(accepted))
 
 
-def load(raw: DataFrame, path: str) -> None:
-    """Write ``products``, ``users``, ``reviews`` and the product ``index`` under ``path``.
+def write_tables(raw: DataFrame, path: str) -> None:
+    """Write ``products``, ``users`` and ``reviews`` under ``path``.
 
-    The parsed documents are written once and read column-wise by each table, so the JSON text
-    is parsed a single time.
+    The parsed documents are written once and read column-wise by each table, so the raw text is
+    parsed a single time.
     """
     parsed = staged(normalize.parsed_documents(raw), "parsed")
     accepted = normalize.accepted_reviews(parsed)
     write_table(normalize.products(parsed), f"{path}/products", "id")
     write_table(normalize.users(accepted), f"{path}/users", "id")
     write_table(normalize.reviews(accepted), f"{path}/reviews", "productId")
-    write_index(read_table(parsed.sparkSession, f"{path}/products"), f"{path}/index")
+
+
+def load(raw: DataFrame, path: str) -> None:
+    """Write the three tables and the text ``index`` of the products under ``path``."""
+    write_tables(raw, path)
+    write_index(read_tables(raw.sparkSession, path).products, f"{path}/index")
 
 
 def read_tables(spark: SparkSession, path: str) -> Tables:

@@ -26,12 +26,10 @@ def _flat(spark, folder):
     return load.normalized(inputs.raw_documents(spark, folder))
 
 
-def _staged_ratings(spark, folder):
-    return staged(model.build_ratings(_flat(spark, folder).reviews), "ratings")
-
-
-def _factors(spark, folder):
-    return train.stored_factors(model.fit_als(_staged_ratings(spark, folder)))
+def _stored(spark, folder):
+    path = scratch_path(spark, "tables")
+    load.write_tables(inputs.raw_documents(spark, folder), path)
+    return load.read_tables(spark, path)
 
 
 # Load stage
@@ -160,24 +158,23 @@ def text_index_documents(spark, folder):
 
 
 def als_factors(spark, folder):
-    factors = _factors(spark, folder)
+    factors = train.fit_factors(_stored(spark, folder))
     sides = [t.withColumn("side", F.lit(s)) for s, t in (("user", factors.users), ("item", factors.items))]
     return sides[0].unionByName(sides[1]).select("side", "id", "features")
 
 
 def als_predict(spark, folder):
-    triples = _staged_ratings(spark, folder)
-    fitted = model.fit_als(triples)
-    return model.predict(fitted, triples)
+    triples = staged(model.build_ratings(_stored(spark, folder).reviews), "ratings")
+    return model.predict(model.fit_als(triples), triples)
 
 
 def als_user_recs(spark, folder):
-    flat = _flat(spark, folder)
-    return train.user_recommendations(_factors(spark, folder), flat.users, flat.products)
+    tables = _stored(spark, folder)
+    return train.user_recommendations(train.fit_factors(tables), tables.users, tables.products)
 
 
 def als_item_recs(spark, folder):
-    return train.product_recommendations(_factors(spark, folder))
+    return train.product_recommendations(train.fit_factors(_stored(spark, folder)))
 
 
 def als_train(spark, folder):
@@ -195,10 +192,10 @@ def als_train(spark, folder):
 
 def als_recs_properties(spark, folder):
     """Counts that hold for any fit: who gets a list, and breaches of the list rules."""
-    flat = _flat(spark, folder)
-    factors = _factors(spark, folder)
+    tables = _stored(spark, folder)
+    factors = train.fit_factors(tables)
     kinds = {
-        "user": train.user_recommendations(factors, flat.users, flat.products),
+        "user": train.user_recommendations(factors, tables.users, tables.products),
         "product": train.product_recommendations(factors),
     }
     x = F.col("recs")
@@ -319,10 +316,9 @@ def requests_text_json(spark, folder):
 
 def user_cf_from_reviews(spark, folder):
     """From raw documents to answers: load, fit, stored lists, ten products per user."""
-    flat = _flat(spark, folder)
-    factors = _factors(spark, folder)
-    stored = train.user_recommendations(factors, flat.users, flat.products)
-    return recommend.by_user(flat.users.select(F.col("id").alias("userId")), stored)
+    tables = _stored(spark, folder)
+    stored = train.user_recommendations(train.fit_factors(tables), tables.users, tables.products)
+    return recommend.by_user(tables.users.select(F.col("id").alias("userId")), stored)
 
 
 QUERIES = {
