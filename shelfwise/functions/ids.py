@@ -17,11 +17,11 @@ def string_id(name: Column) -> Column:
     def push(acc, unit):
         return (acc * HASH_BASE + unit).bitwiseAND(F.lit(ID_MASK))
 
-    def step(acc, char):
-        code = F.ascii(char).cast("long")
+    def step(acc, code):
         beyond = code - 0x10000
         high = F.shiftright(beyond, 10) + 0xD800
         low = beyond.bitwiseAND(F.lit(0x3FF)) + 0xDC00
         return F.when(code < 0x10000, push(acc, code)).otherwise(push(push(acc, high), low))
 
-    return F.aggregate(F.split(name, ""), F.lit(0).cast("long"), step).cast("int")
+    codes = F.transform(F.split(name, ""), F.ascii)
+    return F.aggregate(codes, F.lit(0).cast("long"), step).cast("int")

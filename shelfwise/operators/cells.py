@@ -15,6 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+# More shuffle partitions than this are not worth their bookkeeping.
+MAX_CELLS = 100_000
+
+
 @dataclass(frozen=True)
 class Grid:
     blocks: int
@@ -35,11 +39,12 @@ def plan_grid(
     The right side is copied once per block; the left side and k results per left row are
     shipped once per strip. ``work`` is the cost of all cells, by default one per pair. ``width``
     tasks are used as soon as the work justifies it, more when a cell would otherwise exceed
-    ``max_cell_work``.
+    ``max_cell_work``, up to ``MAX_CELLS``.
     """
     n_left, n_right = max(n_left, 1), max(n_right, 1)
     work = work or n_left * n_right
-    cells = max(1, min(int(work / cell_work), max(width, int(work / max_cell_work))))
+    wanted = max(width, min(int(work / max_cell_work), MAX_CELLS))
+    cells = max(1, min(int(work / cell_work), wanted))
     per_strip = n_left * (left_bytes + 24 * k)
     best = math.sqrt(n_right * cells * right_bytes / per_strip)
     fewest = math.ceil(n_left / max_block)

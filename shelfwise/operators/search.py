@@ -10,6 +10,7 @@ from shelfwise.operators.cells import BestK, Grid, best_pairs, plan_grid
 from shelfwise.operators.recs import ANSWER_ITEMS
 from shelfwise.operators.text_index import TextIndex, heavy_terms, join_by_term
 from shelfwise.session import parallelism, staged
+from shelfwise.sources.tables import is_key_of
 
 # The usual BM25 settings, and how a source document is turned into a query.
 K1, B = 1.2, 0.75
@@ -23,7 +24,7 @@ SCORES_IN_MEMORY = 300_000
 
 
 def text_terms(requests: DataFrame, key: str = "key") -> DataFrame:
-    """Distinct terms of each request text; any one of them makes a hit."""
+    """Distinct terms of each request text, by its unique key; any one of them makes a hit."""
     words = F.array_distinct(tokens(F.col("text")))
     return requests.select(F.col(key).alias("id"), F.lit(1).alias("need"), F.explode(words).alias("term"))
 
@@ -87,11 +88,12 @@ def relevant(
         F.col("need").cast("double").alias("weight"),
     )
     part = F.array_position(F.array(*map(F.lit, fields)), F.col("field")).cast("int") - 1
-    in_fields = F.col("field").isin(fields)
+    useful = F.col("field").isin(fields) & is_key_of("term", request_terms.select("term").distinct())
+    terms, postings = index.terms.where(useful), index.postings.where(useful)
     stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
     routes = (
         asked.select("block", "term").distinct()
-        .join(index.terms.where(in_fields), "term")
+        .join(terms, "term")
         .join(stats, "field")
         .select(
             "field", "term", "block", "avgdl",
@@ -100,7 +102,7 @@ def relevant(
     )
     weight = F.col("idf") * saturation(F.col("tf"), F.col("dl"), F.col("avgdl"), k1, b)
     right = (
-        join_by_term(index.postings.where(in_fields), routes, heavy_terms(index, width))
+        join_by_term(postings, routes, heavy_terms(index, width))
         .withColumn("strip", strip)
         .select(
             cell, F.col("id").cast("long"), part.alias("part"), word,

@@ -5,7 +5,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.functions.text import tokens
-from shelfwise.session import scratch_path
+from shelfwise.session import scratch_path, staged
+from shelfwise.sources.tables import write_table
 
 FIELDS = ("name", "features")
 
@@ -64,12 +65,14 @@ def field_statistics(postings: DataFrame) -> DataFrame:
 
 
 def write_index(catalog: DataFrame, path: str, fields=FIELDS) -> None:
-    """Build the three tables under ``path``, replacing what was there."""
-    spark = catalog.sparkSession
-    postings(catalog, fields).write.mode("overwrite").parquet(f"{path}/postings")
-    stored = spark.read.parquet(f"{path}/postings")
-    term_statistics(stored).write.mode("overwrite").parquet(f"{path}/terms")
-    field_statistics(stored).write.mode("overwrite").parquet(f"{path}/stats")
+    """Build the three tables under ``path``, replacing what was there.
+
+    Postings and terms lie in order of their terms, so that a search reads those it asks for.
+    """
+    counted = staged(postings(catalog, fields), "postings")
+    write_table(counted, f"{path}/postings", "term", "field")
+    write_table(term_statistics(counted), f"{path}/terms", "term", "field")
+    write_table(field_statistics(counted), f"{path}/stats")
 
 
 def read_index(spark: SparkSession, path: str) -> TextIndex:

@@ -11,9 +11,12 @@ def read_requests(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def nest_answers(requests: DataFrame, rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """One row per request key with its ranked items; an empty list where nothing was found."""
+    """One row per request key with its ranked items; an empty list where nothing was found.
+
+    Repeated requests have repeated rows; these are dropped before a list is gathered.
+    """
     item = F.struct("rank", *fields)
-    lists = rows.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    lists = rows.select(key, "rank", *fields).distinct().groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))
     bare = F.transform(
         F.coalesce("items", F.array().cast(lists.schema["items"].dataType)),
         lambda x: F.struct(*[x[f].alias(f) for f in fields]),

@@ -1,21 +1,37 @@
 """Stored tables as parquet folders."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
-def write_table(df: DataFrame, path: str, key: str | None = None) -> None:
+# Keys up to this number are handed to the scan as a filter.
+FEW_KEYS = 1000
+
+
+def write_table(df: DataFrame, path: str, *key: str) -> None:
     """Replace the table at ``path``.
 
     With a ``key`` the rows are laid out by key ranges, so that a lookup by key skips files and
-    row groups by their min/max statistics. The row hash as second range column lets the rows of
+    row groups by their min/max statistics. The row hash as last range column lets the rows of
     one hot key spread over several files.
     """
-    if key is not None:
-        df = df.repartitionByRange(F.col(key), F.xxhash64(*df.columns)).sortWithinPartitions(key)
+    if key:
+        df = df.repartitionByRange(*key, F.xxhash64(*df.columns)).sortWithinPartitions(*key)
     df.write.mode("overwrite").parquet(path)
 
 
+def is_key_of(column: str, keys: DataFrame) -> Column:
+    """A filter that a join of ``column`` with the one-column ``keys`` allows before it.
+
+    Few keys become a list that reaches the scan and, on a table laid out by ``column``, skips
+    what holds none of them. With more keys every row passes.
+    """
+    found = keys.limit(FEW_KEYS + 1).collect()
+    if len(found) > FEW_KEYS:
+        return F.lit(True)
+    return F.col(column).isin(sorted({row[0] for row in found} - {None}))
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import recs
 from shelfwise.operators.text_index import build_index
 from shelfwise.plans import recommend
+from shelfwise.sources.tables import read_table, write_table
 
 LISTS = "id int, recs array<struct<pid:int,r:double>>"
 
@@ -42,6 +43,18 @@ def test_a_request_asked_often_is_answered_each_time(spark, stored):
     assert got.count() == 3000 and got.select("ticket").distinct().count() == 300
 
 
+def test_few_requests_reach_the_scan_of_a_stored_table(spark, stored, tmp_path):
+    write_table(stored, str(tmp_path / "recs"), "id")
+    table = read_table(spark, str(tmp_path / "recs"))
+    few = recommend.by_user(spark.createDataFrame([(1,), (5,)], "userId int"), table)
+    assert few.count() == 13
+    assert "In(id, [1,5])" in few._jdf.queryExecution().toString()
+    none = recommend.by_user(spark.createDataFrame([], "userId int"), table)
+    assert none.count() == 0
+    many = spark.range(5000).select(F.col("id").cast("int").alias("userId"))
+    assert recommend.by_user(many, table).count() == 15
+
+
 def ranked_list(spark, data):
     return spark.createDataFrame(data, "requestId int, rank int, productId int, rating double")
 
