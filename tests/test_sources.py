@@ -20,6 +20,25 @@ def test_compaction_gathers_the_lines_of_each_directory(spark, tmp_path):
     assert len(list((tmp_path / "in" / "plain").glob("*.json"))) == 1
 
 
+def test_a_large_directory_becomes_several_files(spark, tmp_path):
+    for category, files in {"large": 20, "small": 1}.items():
+        folder = tmp_path / "in" / category
+        folder.mkdir(parents=True)
+        for i in range(files):
+            (folder / f"{i}.json").write_text("".join(f'{{"n": "{i}-{j}"}}\n' for j in range(2000)))
+    target = str(tmp_path / "out")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        raw.compact_small_files(spark, str(tmp_path / "in"), target)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    read = spark.read.text(target).select("category", F.input_file_name().alias("file"))
+    lines = read.groupBy("category").agg(F.count("*"), F.count_distinct("file"))
+    counts = {r[0]: (r[1], r[2]) for r in lines.collect()}
+    assert counts["small"] == (2000, 1)
+    assert counts["large"][0] == 40_000 and 1 < counts["large"][1] < 20
+
+
 def test_one_named_file(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.json").write_text(json.dumps({"ProductInfo": {"ProductID": name}}))

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise import schemas
 from shelfwise.functions.ids import string_id
 from shelfwise.functions.text import tokens
+from shelfwise.functions.vectors import cosine
 from shelfwise.operators import normalize, ratings as model, recs
 from shelfwise.operators.nearest import topk_cosine, topk_dot
 from shelfwise.operators.search import source_terms
@@ -236,6 +237,16 @@ def cosine_topk(spark, folder):
     return _cosine(spark, folder)
 
 
+def cosine_pair_formula(spark, folder):
+    """The ten best pairs of each vector, scored again by the column expression."""
+    items = inputs.vectors(spark, folder)
+    pairs = topk_cosine(items, recs.ANSWER_ITEMS, digits=DIGITS).select("id", "pid")
+    left = items.withColumnRenamed("features", "a")
+    right = items.select(F.col("id").alias("pid"), F.col("features").alias("b"))
+    scored = pairs.join(left, "id").join(right, "pid")
+    return scored.select("id", "pid", F.round(cosine(F.col("a"), F.col("b")), DIGITS).alias("r"))
+
+
 # Recommend stage
 
 
@@ -328,7 +339,7 @@ QUERIES = {
         dirty_reviews, dirty_products_users, hash_ids, hash_texts, hash_collisions,
         table_roundtrip, ratings_triples, distinct_ids, text_index_terms, text_index_postings,
         text_index_documents, als_factors, als_predict, als_user_recs, als_item_recs, als_train,
-        als_recs_properties, dot_topk, cosine_topk, cosine_recs_nested_topk, product_cf_lookup,
+        als_recs_properties, dot_topk, cosine_topk, cosine_pair_formula, cosine_recs_nested_topk, product_cf_lookup,
         user_cf_lookup, search_multi_field, more_like_this_terms, more_like_this, hybrid_scores,
         hybrid_topk, requests_json, requests_text_json, user_cf_from_reviews,
     )
