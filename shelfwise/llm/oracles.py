@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from shelfwise.llm.mixing import offset
+
 OP1_SUBSTRING_DEDUP = r"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
@@ -46,4 +48,71 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLES = {"op1_substring_dedup": OP1_SUBSTRING_DEDUP, "op10_line_dedup": OP10_LINE_DEDUP}
+OP3_SOURCE_MIXING = rf"""
+WITH docs AS (
+  SELECT doc_id, source,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM docs GROUP BY source
+), swept AS (
+  SELECT *, 2 * source_size AS most,
+    (sum(2 * source_size) OVER earlier - 2 * source_size)::DOUBLE AS most_before,
+    (sum(weight) OVER () - sum(weight) OVER earlier + weight)::DOUBLE AS weight_left,
+    1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE AS wanted
+  FROM sources
+  WINDOW earlier AS (ORDER BY (2 * source_size)::DOUBLE / weight, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), judged AS (
+  SELECT *, most * weight_left <= (wanted - most_before) * weight AS is_full FROM swept
+), level AS (
+  SELECT (max(wanted) - coalesce(sum(most) FILTER (is_full), 0)::DOUBLE)
+    / nullif(coalesce(sum(weight) FILTER (NOT is_full), 0), 0)::DOUBLE AS level
+  FROM judged
+), targets AS (
+  SELECT source, source_size,
+    CASE WHEN is_full THEN most::DOUBLE ELSE weight::DOUBLE * level END AS target
+  FROM judged, level
+), placed AS (
+  SELECT doc_id, size, source_size, target,
+    CASE WHEN source_size > 0 THEN target / source_size::DOUBLE ELSE 0::DOUBLE END AS rate,
+    row_number() OVER (PARTITION BY docs.source ORDER BY size, doc_id NULLS FIRST)::DOUBLE AS nth
+  FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target,
+  least(floor(nth * rate + '{offset()!r}'::DOUBLE) - floor((nth - 1) * rate + '{offset()!r}'::DOUBLE), 2)::BIGINT
+    * size AS taken
+FROM placed
+"""
+
+OP5_URL_FILTER = r"""
+WITH split AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), judged AS (
+  SELECT *, '.' || host AS dotted FROM split
+), ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN ends_with(dotted, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with(dotted, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with(dotted, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with(dotted, '.net') AND starts_with(path, '/') THEN 'net/'
+  END AS rule
+  FROM judged
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+ORACLES = {
+    "op1_substring_dedup": OP1_SUBSTRING_DEDUP,
+    "op3_source_mixing": OP3_SOURCE_MIXING,
+    "op5_url_filter": OP5_URL_FILTER,
+    "op10_line_dedup": OP10_LINE_DEDUP,
+}

@@ -3,7 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.line_dedup import dedup_lines
+from shelfwise.llm.mixing import mix
+from shelfwise.llm.simhash_dedup import near_duplicates
 from shelfwise.llm.substring_dedup import dedup_substrings
+from shelfwise.llm.url_filter import ALLOW, BLOCK, judge_urls
+
+#: The URL rules of the contract: verdict, host, path.
+URL_RULES = [
+    (BLOCK, "net", "/"),
+    (ALLOW, "example.net", "/en/"),
+    (BLOCK, "example.com", "/de/"),
+    (ALLOW, "org", "/fr/"),
+]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +28,26 @@ def op1_substring_dedup(spark, folder):
     )
 
 
+def op3_source_mixing(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
+    sizes = mix(docs, keep=["doc_id"])
+    return sizes.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op4_simhash_dedup(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def op5_url_filter(spark, folder):
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return judge_urls(_table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def op10_line_dedup(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -24,4 +55,9 @@ def op10_line_dedup(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op10_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op3_source_mixing, op4_simhash_dedup, op5_url_filter, op10_line_dedup,
+    )
+}
