@@ -110,9 +110,50 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+OP8_DECONTAMINATION = r"""
+WITH lowered AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'b', item_id, text FROM benchmark
+), split AS (
+  SELECT side, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM lowered
+), item_windows AS (
+  SELECT DISTINCT id AS item_id, least(len(words), 13) AS size, words[i:i + least(len(words), 13) - 1] AS run
+  FROM (
+    SELECT *, unnest(range(1, greatest(len(words) - 11, least(len(words), 1) + 1))) AS i
+    FROM split WHERE side = 'b'
+  )
+), sizes AS (
+  SELECT DISTINCT size FROM item_windows
+), doc_windows AS (
+  SELECT id AS doc_id, size, i, words[i:i + size - 1] AS run
+  FROM (
+    SELECT *, unnest(range(1, len(words) - size + 2)) AS i
+    FROM split, sizes WHERE side = 'd' AND len(words) >= size
+  )
+), found AS (
+  SELECT doc_id, size, i, item_id FROM doc_windows JOIN item_windows USING (size, run)
+), hits AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS spot FROM (SELECT DISTINCT doc_id, size, i FROM found))
+  GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT id AS doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM split LEFT JOIN hits ON hits.doc_id = id LEFT JOIN items ON items.doc_id = id
+WHERE side = 'd'
+"""
+
 ORACLES = {
     "op1_substring_dedup": OP1_SUBSTRING_DEDUP,
     "op3_source_mixing": OP3_SOURCE_MIXING,
     "op5_url_filter": OP5_URL_FILTER,
+    "op8_decontamination": OP8_DECONTAMINATION,
     "op10_line_dedup": OP10_LINE_DEDUP,
 }

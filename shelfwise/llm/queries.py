@@ -2,8 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfwise.llm.decontamination import find_contamination
 from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.mixing import mix
+from shelfwise.llm.quality_classifier import importance
+from shelfwise.llm.quality_rules import apply_rules
 from shelfwise.llm.simhash_dedup import near_duplicates
 from shelfwise.llm.substring_dedup import dedup_substrings
 from shelfwise.llm.url_filter import ALLOW, BLOCK, judge_urls
@@ -48,6 +51,27 @@ def op5_url_filter(spark, folder):
     return judge_urls(_table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op6_quality_rules(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return apply_rules(docs, _table(spark, folder, "labels")).drop("log_ratio")
+
+
+def op8_decontamination(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = find_contamination(docs, _table(spark, folder, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op9_quality_classifier(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return importance(docs, _table(spark, folder, "labels"))
+
+
 def op10_line_dedup(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -58,6 +82,7 @@ def op10_line_dedup(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_substring_dedup, op3_source_mixing, op4_simhash_dedup, op5_url_filter, op10_line_dedup,
+        op1_substring_dedup, op3_source_mixing, op4_simhash_dedup, op5_url_filter,
+        op6_quality_rules, op8_decontamination, op9_quality_classifier, op10_line_dedup,
     )
 }
