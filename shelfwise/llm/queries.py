@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.decontamination import find_contamination
+from shelfwise.llm.html_extraction import extract_pages
 from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.mixing import mix
 from shelfwise.llm.quality_classifier import importance
@@ -56,6 +57,11 @@ def op6_quality_rules(spark, folder):
     return apply_rules(docs, _table(spark, folder, "labels")).drop("log_ratio")
 
 
+def op7_html_extraction(spark, folder):
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    return extract_pages(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_decontamination(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = find_contamination(docs, _table(spark, folder, "benchmark").select("item_id", "text"))
@@ -83,6 +89,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op3_source_mixing, op4_simhash_dedup, op5_url_filter,
-        op6_quality_rules, op8_decontamination, op9_quality_classifier, op10_line_dedup,
+        op6_quality_rules, op7_html_extraction, op8_decontamination, op9_quality_classifier,
+        op10_line_dedup,
     )
 }
