@@ -6,6 +6,7 @@ from shelfwise.llm.decontamination import find_contamination
 from shelfwise.llm.html_extraction import extract_pages
 from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.mixing import mix
+from shelfwise.llm.pii import KINDS, count_of, find_pii, written
 from shelfwise.llm.quality_classifier import importance
 from shelfwise.llm.quality_rules import apply_rules
 from shelfwise.llm.simhash_dedup import near_duplicates
@@ -32,6 +33,16 @@ def op1_substring_dedup(spark, folder):
     )
 
 
+def op2_pii(spark, folder):
+    found = find_pii(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[count_of("base", kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(written("base"), 256).alias("base_sha256"),
+        written("spans").alias("spans"),
+    )
+
+
 def op3_source_mixing(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
     sizes = mix(docs, keep=["doc_id"])
@@ -88,8 +99,8 @@ def op10_line_dedup(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_substring_dedup, op3_source_mixing, op4_simhash_dedup, op5_url_filter,
-        op6_quality_rules, op7_html_extraction, op8_decontamination, op9_quality_classifier,
-        op10_line_dedup,
+        op1_substring_dedup, op2_pii, op3_source_mixing, op4_simhash_dedup,
+        op5_url_filter, op6_quality_rules, op7_html_extraction, op8_decontamination,
+        op9_quality_classifier, op10_line_dedup,
     )
 }
