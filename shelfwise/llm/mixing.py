@@ -24,7 +24,7 @@ def word_count(text: str):
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """Per source its size, its target and the expected copies of each of its documents.
+    """Per source its whole size, its target and the expected copies of each of its documents.
 
     ``sizes`` has no_source, source_name and source_size, one row per source. Weights are dealt in
     order of the names, those without a name last. Targets share ``SHARE`` of all sizes by weight,
@@ -52,7 +52,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     level = (wanted - (taken or 0)) / rest if rest else 0.0
     target = F.when(F.col("full"), F.col("limit").cast("double")).otherwise(F.col("weight") * F.lit(level))
     return swept.select(
-        "no_source", "source_name", "source_size", target.alias("target"),
+        "no_source", "source_name", F.col("source_size").alias("whole_size"), target.alias("target"),
         F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(0.0).alias("rate"),
     )
 
@@ -79,15 +79,15 @@ def mix(docs: DataFrame, seed: int = SEED, keep: list[str] | None = None) -> Dat
         F.col("doc_id").cast("long").alias("id"),
         word_count("text").alias("size"),
     )
-    group = ["no_source", "source_name"]
-    ranked = running_sums(sized, group, ["size", "id"], {"nth": F.lit(1)})
-    sizes = ranked.groupBy(*group).agg(F.sum("size").alias("source_size"))
-    placed = ranked.join(source_targets(sizes), group)
+    placed = running_sums(
+        sized, ["no_source", "source_name"], ["size", "id"], {"nth": F.lit(1), "source_size": F.col("size")},
+        attach=source_targets,
+    )
     u = offset(seed)
     copies = F.floor(F.col("nth") * F.col("rate") + u) - F.floor((F.col("nth") - 1) * F.col("rate") + u)
     return placed.select(
         *[F.col("row").getField(c).alias(c) for c in given],
-        "size", "source_size", "target", F.least(copies, F.lit(MOST)).cast("long").alias("copies"),
+        "size", F.col("whole_size").alias("source_size"), "target", F.least(copies, F.lit(MOST)).cast("long").alias("copies"),
     )
 
 

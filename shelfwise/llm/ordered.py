@@ -6,6 +6,8 @@ spreads over as many ranges as it fills. The result depends on the order alone,
 ranges end.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.session import parallelism, staged
@@ -31,10 +33,15 @@ def _local(group: list[str], order: list[str]):
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def running_sums(df: DataFrame, group: list[str], order: list[str], sums: dict[str, Column]) -> DataFrame:
+def running_sums(
+    df: DataFrame, group: list[str], order: list[str], sums: dict[str, Column],
+    attach: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """``df`` with the sum of each value over the rows of the group up to and with this one.
 
-    Group columns hold no nulls. Rows that tie in the order get their sums in any order.
+    Group columns hold no nulls. Rows that tie in the order get their sums in any order. ``attach``
+    may make more columns of each group from the groups' sums; these travel with what is carried,
+    at no further shuffle of the rows.
     """
     named = {f"_{name}": value for name, value in sums.items()}
     ranged = _ranged(df.withColumns(named), [*group, *order])
@@ -42,6 +49,9 @@ def running_sums(df: DataFrame, group: list[str], order: list[str], sums: dict[s
     before = totals.select(
         PART, *group, *[F.coalesce(F.sum(n).over(_before(group)), F.lit(0)).alias(f"_before{n}") for n in named]
     )
+    if attach is not None:
+        whole = totals.groupBy(*group).agg(*[F.sum(f"_{n}").alias(n) for n in sums])
+        before = before.join(attach(whole), group)
     local = _local(group, order)
     full = {n: F.col(f"_before_{n}") + F.sum(f"_{n}").over(local) for n in sums}
     done = _carried(ranged, before, group).withColumns(full)

@@ -256,13 +256,13 @@ def boosted(table: list[tuple[dict, int, int]]) -> list[Tree]:
 
 
 def calibrated(trees: list[Tree], table: list[tuple[dict, int, int]]) -> float | None:
-    """The least score from which on the held-out candidates reach the precision, or None."""
+    """The least score, above even odds, from which on held-out candidates reach the precision; or None."""
     by_score = sorted(((score(trees, row), yes, no) for row, yes, no in table), key=lambda x: -x[0])
     limit, good, bad = None, 0, 0
     for k, (s, yes, no) in enumerate(by_score):
         good, bad = good + yes, bad + no
         last = k + 1 == len(by_score) or by_score[k + 1][0] < s
-        if last and good and good >= PRECISION * (good + bad + DOUBT):
+        if s > 0 and last and good >= PRECISION * (good + bad + DOUBT):
             limit = s
     return limit
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise.llm import ngram_models
 from shelfwise.llm.ordered import running_sums
 from shelfwise.llm.words import pieces
+from shelfwise.session import staged
 
 SEED = 20240229
 
@@ -15,17 +16,18 @@ def _score(ratios: np.ndarray):
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
-                total, count = ngram_models.scores(piece.column("text"), ratios)
+                texts = piece.column("text")
+                total, count = ngram_models.scores(texts, ratios)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("rest"), piece.column("key"), pa.array(total), pa.array(count.astype(np.int64))],
-                    names=["rest", "key", "log_ratio", "n_grams"],
+                    [piece.column("rest"), texts, piece.column("key"), pa.array(total), pa.array(count.astype(np.int64))],
+                    names=["rest", "text", "key", "log_ratio", "n_grams"],
                 )
 
     return run
 
 
 def importance(docs: DataFrame, labels: DataFrame, size: int | None = None, seed: int = SEED) -> DataFrame:
-    """``docs`` without its text, with n_grams, log_ratio, noisy and selected.
+    """``docs`` with n_grams, log_ratio, noisy and selected.
 
     ``log_ratio`` is the log of the text's likelihood under the model of trusted documents over
     that under the model of all documents, ``noisy`` is that plus Gumbel noise from a hash of id and
@@ -34,29 +36,32 @@ def importance(docs: DataFrame, labels: DataFrame, size: int | None = None, seed
     reaches ``ngram_models.FLOOR``, so that noise decides only among those near the limit.
 
     Null or empty text: log ratio 0. Null ``doc_id``: never a trusted document, otherwise like any
-    other. Equal rows get equal noise; if the limit falls between them, any of them is taken.
+    other. Equal rows get equal noise and are selected together, if the limit falls on them.
     Columns of the input named like an added one are replaced. Empty tables of either kind are
     allowed; without trusted documents all log ratios are 0 and all documents are selected.
     """
     added = ["n_grams", "log_ratio", "noisy", "selected"]
-    given = [c for c in docs.columns if c != "text"]
     ratios = ngram_models.fit(docs, labels)
     read = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in given]).alias("rest"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"),
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"), F.col("text").cast("string").alias("text"),
     )
     rest = read.schema["rest"].dataType.simpleString()
-    scored = read.mapInArrow(_score(ratios), f"rest {rest}, key long, log_ratio double, n_grams long")
+    scored = read.mapInArrow(_score(ratios), f"rest {rest}, text string, key long, log_ratio double, n_grams long")
     uniform = (F.shiftrightunsigned("key", 11).cast("double") + 0.5) / float(1 << 53)
     noisy = scored.withColumn("noisy", F.col("log_ratio") - F.log(-F.log(uniform)))
     reaches = F.col("log_ratio") >= ngram_models.FLOOR * (F.col("n_grams") + ngram_models.NEUTRAL)
-    ranked = running_sums(
-        noisy.withColumns({"_down": -F.col("noisy"), "_reaches": reaches.cast("long")}),
-        [], ["_down", "key"], {"rank": F.lit(1)},
-    )
+    narrow = staged(noisy.select((-F.col("noisy")).alias("down"), "key", reaches.alias("reaches")), "scores")
     if size is None:
-        size = ranked.agg(F.sum("_reaches")).first()[0] or 0
-    return ranked.select(
-        *[F.col("rest").getField(c).alias(c) for c in given if c not in added],
-        "n_grams", "log_ratio", "noisy", (F.col("rank") <= size).alias("selected"),
-    )
+        size = narrow.where("reaches").count()
+    ranked = running_sums(narrow.select("down", "key"), [], ["down", "key"], {"rank": F.lit(1)})
+    # The last selected row in order; the texts are scored again instead of being moved.
+    last = ranked.where(F.col("rank") == size).first() if size else None
+    if last is None:
+        selected = F.lit(size > 0)
+    else:
+        selected = (-F.col("noisy") < last.down) | ((-F.col("noisy") == last.down) & (F.col("key") <= last.key))
+    given = [
+        F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns if c not in added
+    ]
+    return noisy.select(*given, "n_grams", "log_ratio", "noisy", selected.alias("selected"))

@@ -59,7 +59,8 @@ def op4_simhash_dedup(spark, folder):
 
 
 def op5_url_filter(spark, folder):
-    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    rows = [F.struct(*[F.lit(v).alias(c) for v, c in zip(r, ("verdict", "host", "path"))]) for r in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*rows)))
     return judge_urls(_table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
 
 
@@ -86,7 +87,7 @@ def op8_decontamination(spark, folder):
 
 def op9_quality_classifier(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return importance(docs, _table(spark, folder, "labels"))
+    return importance(docs, _table(spark, folder, "labels")).drop("text")
 
 
 def op10_line_dedup(spark, folder):
