@@ -64,14 +64,15 @@ def features(texts: pa.Array) -> Features:
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """Per cell the log of target over raw probability; each kind is a multinomial of its own.
 
-    The raw counts, which include the target's, are also the prior of the target, so a cell that
-    only the raw text has is neutral until the target is large enough to miss it.
+    The raw counts, which include the target's, are also the prior of the target. It weighs as much
+    as the target but no more than one n-gram per cell, so that a small target convicts nothing
+    for merely being new to it.
     """
     out = []
     for t, r in zip(target.reshape(KINDS, -1), raw.reshape(KINDS, -1)):
         p = (r + SMOOTHING) / (r.sum() + SMOOTHING * len(r))
-        q = (t + SMOOTHING * len(r) * p) / (t.sum() + SMOOTHING * len(r))
-        out.append(np.log(q) - np.log(p))
+        prior = min(max(t.sum(), 1.0), SMOOTHING * len(r))
+        out.append(np.log((t + prior * p) / (t.sum() + prior)) - np.log(p))
     return np.concatenate(out)
 
 
