@@ -8,18 +8,21 @@ MONTHS = [
     "july", "august", "september", "october", "november", "december",
 ]
 # Fixed value: "month day, year", blanks before a number allowed, anything after it ignored.
-DATE_PATTERN = r"(?s)^[ \t]*([A-Za-z]+) [ \t]*(-?\d+), [ \t]*(\d+)"
+DATE_PATTERN = r"(?s)^[ \t]*([A-Za-z]+) [ \t]*(-?\d+), [ \t]*(-?\d+)"
 # Fixed value: the rating text that stands for "no rating".
 NO_RATING = "None"
 
-_MAX_YEAR = 200_000
-_MAX_DAY = 1_000_000
+# Days from 1970 that a timestamp of microseconds can hold in any time zone, and years around them.
+_TIMESTAMP_DAYS = 106_751_988
+_TIMESTAMP_YEARS = 292_300
 
 
-def review_date(text: Column) -> Column:
-    """Midnight of a "February 03, 2010" style date, in the session's time zone.
+def parsed_date(text: Column) -> Column:
+    """A struct: ``accepted``, whether the text is a "February 03, 2010" style date, and ``date``,
+    its midnight in the session's time zone.
 
-    Days past the end of a month roll over into the next one (February 30 is March 1 or 2).
+    Days past the end of a month roll over into the next one (February 30 is March 1 or 2), years
+    may be zero or negative. An accepted date that no timestamp can hold is null.
     """
     pieces = F.split(F.regexp_replace(text, DATE_PATTERN + ".*", "$1 $2 $3"), " ")
 
@@ -28,14 +31,23 @@ def review_date(text: Column) -> Column:
         month = F.greatest(
             *[F.array_position(F.array(*map(F.lit, m)), word) for m in (MONTHS, [m[:3] for m in MONTHS])]
         )
-        day, year = (F.get(part, F.lit(i)).try_cast("int") for i in (1, 2))
-        sound = year.between(1, _MAX_YEAR) & day.between(-_MAX_DAY, _MAX_DAY) & (month > 0)
-        first = F.make_date(year, month.cast("int"), F.lit(1))
-        return F.when(sound, F.date_add(first, day - 1).cast("timestamp"))
+        day, year = (F.get(part, F.lit(i)).try_cast("bigint") for i in (1, 2))
+        near = F.when(year.between(-_TIMESTAMP_YEARS, _TIMESTAMP_YEARS), year.cast("int"))
+        first = F.unix_date(F.make_date(near, month.cast("int"), F.lit(1)))
+        close = day.between(-2 * _TIMESTAMP_DAYS, 2 * _TIMESTAMP_DAYS)
+        number = F.when((month > 0) & close, first + day - 1)
+        held = F.when(number.between(-_TIMESTAMP_DAYS, _TIMESTAMP_DAYS), number.cast("int"))
+        accepted = F.coalesce(month > 0, F.lit(False))
+        return F.struct(accepted.alias("accepted"), F.date_from_unix_date(held).cast("timestamp").alias("date"))
 
     return _bound(F.when(text.rlike(DATE_PATTERN), pieces), build)
 
 
+def review_date(text: Column) -> Column:
+    """The date of ``parsed_date``; null also for text that is no date."""
+    return parsed_date(text)["date"]
+
+
 def _bound(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, however often the body mentions it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -46,8 +58,8 @@ def review_rating(text: Column) -> Column:
 
     The cast also takes spellings such as "inf" and "nan" that are not numbers in review files.
     """
-    loose = F.lower(F.trim(text)).rlike(r"^([+-]?inf(inity)?|nan)$")
-    strict = text.rlike(r"^\s*[+-]?(Infinity|NaN)\s*$")
+    loose = text.rlike(r"(?i)^[\x00-\x20]*([+-]?inf(inity)?|[+-]?nan)[\x00-\x20]*$")
+    strict = text.rlike(r"^[\x00-\x20]*[+-]?(Infinity|NaN)[\x00-\x20]*$")
     return F.when(~loose | strict, text.try_cast("double"))
 
 

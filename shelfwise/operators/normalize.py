@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions.ids import string_id
-from shelfwise.functions.reviews import rating_is_acceptable, review_date, review_rating
+from shelfwise.functions.reviews import parsed_date, rating_is_acceptable, review_rating
 
 
 def parsed_documents(raw: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def parsed_documents(raw: DataFrame) -> DataFrame:
     )
     acceptable = F.filter("Reviews", lambda r: r.Author.isNotNull() & rating_is_acceptable(r.Overall))
     parsed = F.transform(acceptable, _parsed_review)
-    dated = F.filter(parsed, lambda r: r.dateText.isNull() | r.date.isNotNull())
+    dated = F.filter(parsed, lambda r: r.undated | F.coalesce(r.parsed.accepted, F.lit(False)))
     return raw.where(info.ProductID.isNotNull()).select(
         product.alias("product"), dated.alias("reviews")
     )
@@ -37,8 +37,8 @@ def _parsed_review(r):
         r.Title.alias("title"),
         review_rating(r.Overall).alias("overall"),
         r.Content.alias("content"),
-        r.Date.alias("dateText"),
-        review_date(r.Date).alias("date"),
+        r.Date.isNull().alias("undated"),
+        parsed_date(r.Date).alias("parsed"),
     )
 
 
@@ -51,8 +51,8 @@ def accepted_reviews(parsed: DataFrame) -> DataFrame:
     """Reviews that survive parsing, one per row, still with the author's name.
 
     Dropped: a null review, a null author, a date text that is no date, and a rating that is
-    neither "None" nor a number. A null date and a "None" rating stay, as null values. The outer
-    explode keeps the optimizer from testing the array's size, which would parse it a second time.
+    neither "None" nor a number. A null date and a "None" rating stay, as null values, and so does
+    a date beyond all timestamps. The outer explode keeps the optimizer from testing the array's size, which would parse it a second time.
     """
     r = F.col("r")
     return (
@@ -62,7 +62,7 @@ def accepted_reviews(parsed: DataFrame) -> DataFrame:
         .select(
             r.author.alias("author"), r.reviewId.alias("reviewId"), r.userId.alias("userId"),
             "productId", r.title.alias("title"), r.overall.alias("overall"),
-            r.content.alias("content"), r.date.alias("date"),
+            r.content.alias("content"), r.parsed.date.alias("date"),
         )
     )
 

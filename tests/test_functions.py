@@ -5,7 +5,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from shelfwise.functions.ids import string_id
-from shelfwise.functions.reviews import rating_is_acceptable, review_date, review_rating
+from shelfwise.functions.reviews import parsed_date, rating_is_acceptable, review_date, review_rating
 from shelfwise.functions.text import tokens
 from shelfwise.functions.vectors import cosine, dot
 
@@ -50,6 +50,9 @@ def test_ids_of_any_text(spark, texts):
         ("March 0, 2012", (2012, 2, 29)),
         ("December 32, 2010", (2011, 1, 1)),
         ("February 03, 10", (10, 2, 3)),
+        ("June 0000005, 1999", (1999, 6, 5)),
+        ("June -1, 2012", (2012, 5, 30)),
+        ("June 1000001, 2010", (4748, 4, 28)),
         ("February 03,2010", None),
         ("Sept 03, 2010", None),
         ("Febru 03, 2010", None),
@@ -67,6 +70,30 @@ def test_review_date(spark, text, expected):
     assert got.first()[0] == want
 
 
+@pytest.mark.parametrize(
+    "text, accepted, date",
+    [
+        ("June 5, 0", True, "0000-06-05"),
+        ("June 5, -5", True, "-0005-06-05"),
+        ("June 5, 200001", True, "+200001-06-05"),
+        ("June 5, 292000", True, "+292000-06-05"),
+        ("June 5, 292999", True, None),
+        ("June 5, -99999999", True, None),
+        ("June 5, 99999999999999999999", True, None),
+        ("June 99999999999999999999, 2010", True, None),
+        ("June 300000000, 2010", True, None),
+        ("June 100000000, -200000", True, "+73791-02-11"),
+        ("Sept 5, 2010", False, None),
+        ("June 5 2010", False, None),
+        ("", False, None),
+    ],
+)
+def test_dates_far_away(spark, text, accepted, date):
+    df = spark.createDataFrame([(text,)], "t string").select(parsed_date(F.col("t")).alias("p"))
+    row = df.select(F.coalesce("p.accepted", F.lit(False)), F.col("p.date").cast("date").cast("string")).first()
+    assert tuple(row) == (accepted, date)
+
+
 @pytest.mark.parametrize(
     "text, value, kept",
     [
@@ -74,7 +101,8 @@ def test_review_date(spark, text, expected):
         ("-1", -1.0, True), ("0x1p3", 8.0, True), ("1e400", float("inf"), True),
         ("Infinity", float("inf"), True), ("None", None, True), ("none", None, False),
         ("", None, False), ("five", None, False), ("inf", None, False), ("nan", None, False),
-        ("infinity", None, False), (None, None, False),
+        ("infinity", None, False), ("\tinf", None, False), ("\tnan", None, False), ("+nan", None, False),
+        ("\tInfinity ", float("inf"), True), ("\t3\n", 3.0, True), (None, None, False),
     ],
 )
 def test_review_rating(spark, text, value, kept):

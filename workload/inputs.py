@@ -92,12 +92,20 @@ def dirty_documents(spark: SparkSession, folder: str) -> DataFrame:
         7: F.concat(F.lit("Sept 1, "), year),
         8: F.date_format("l_shipdate", "MMMM dd,yyyy"),
     }
+    far = {1: "June 5, 0", 2: "June 5, -5", 3: "June 5, 200001", 4: "June 1000001, 2010", 5: "June 5, 9999999"}
     ratings = {1: "None", 2: None, 3: "five", 4: " 4 ", 5: "5d", 6: "", 7: "nan"}
-    date = F.coalesce(*[F.when(kind == k, v) for k, v in dates.items() if k], F.when(kind != 0, long_date))
+    is_far = (kind == 9) & (F.col("l_orderkey") % 3 == 0)
+    date = F.coalesce(
+        *[F.when(kind == k, v) for k, v in dates.items() if k],
+        *[F.when(is_far & (F.col("l_linenumber") == n), F.lit(v)) for n, v in far.items()],
+        F.when(kind != 0, long_date),
+    )
     overall = _stars()
     for line, text in ratings.items():
         spoilt = (F.col("l_linenumber") == line) & (F.col("l_quantity") < 40)
         overall = F.when(spoilt, F.lit(text)).otherwise(overall)
+    tabbed = (F.col("l_quantity") < 20) & F.col("l_linenumber").isin(3, 7)
+    overall = F.when(tabbed, F.when(F.col("l_linenumber") == 3, "\tinf").otherwise("\tnan")).otherwise(overall)
     author = F.when(~((F.col("l_returnflag") == "N") & (F.col("l_quantity") > 45)), F.col("c_name"))
     reviews = _lines(spark, folder).select(*_review_columns(author, date, overall))
     info = F.when(

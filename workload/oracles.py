@@ -43,7 +43,7 @@ REVIEWS = f"""reviews AS (
 
 # What has to come out of the spoilt fields, written down by case.
 DIRTY = f"""dirty AS (
-  SELECT *, l_suppkey % 10 AS kind, l_quantity < 40 AS spoilt FROM lines JOIN part ON l_partkey = p_partkey),
+  SELECT *, l_suppkey % 10 AS kind, l_quantity < 40 AS spoilt, l_orderkey % 3 = 0 AS far FROM lines JOIN part ON l_partkey = p_partkey),
 accepted AS (
   SELECT * FROM dirty
   WHERE p_size NOT IN (7, 8) AND NOT (l_returnflag = 'N' AND l_quantity > 45)
@@ -54,6 +54,8 @@ reviews AS (
            AS overall, {_CONTENT},
          CASE WHEN kind = 0 THEN NULL
               WHEN kind = 5 THEN strftime(make_date(year(l_shipdate)::int, 2, 1) + 29, '%Y-%m-%d')
+              WHEN kind = 9 AND far AND l_linenumber <= 5
+                THEN ['0000-06-05', '-0005-06-05', '+200001-06-05', '4748-04-28', NULL][l_linenumber]
               ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date
   FROM accepted)"""
 

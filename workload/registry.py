@@ -20,7 +20,7 @@ DIGITS = 6
 
 
 def _day(column="date"):
-    return F.date_format(column, "yyyy-MM-dd").alias(column)
+    return F.col(column).cast("date").cast("string").alias(column)
 
 
 def _flat(spark, folder):
