@@ -6,20 +6,21 @@ from shelfwise.schemas import RAW_DOCUMENT
 
 
 def read_raw(spark: SparkSession, folder: str, file: str | None = None) -> DataFrame:
-    """All ``*.json`` of a folder, or one named file. The fixed schema saves the inference pass."""
+    """All ``*.json`` of a folder, files or folders of files, or one that is named. The fixed schema saves the inference pass."""
     return spark.read.schema(RAW_DOCUMENT).json(f"{folder.rstrip('/')}/{file or '*.json'}")
 
 
 def compact_small_files(spark: SparkSession, source: str, target: str) -> None:
     """Gather the many JSON files of each first-level directory into few large text files.
 
-    The directory name becomes the ``category`` partition. Rebalancing joins small pieces and
-    splits a category that is larger than one task should write; the source stays as it is.
+    A directory becomes ``category=<name>.json`` under ``target``, so that ``read_raw`` of the target
+    reads them all and a name made of digits stays a text. Rebalancing joins small pieces and splits
+    a category that is larger than one task should write; the source stays as it is.
     """
     path = F.col("_metadata.file_path")
     category = F.url_decode(F.regexp_replace(F.element_at(F.split(path, "/"), -2), r"\+", "%2B"))
     lines = spark.read.text(f"{source.rstrip('/')}/*/*.json").select(
-        "value", category.alias("category")
+        "value", F.concat(category, F.lit(".json")).alias("category")
     )
     lines.hint("rebalance", F.col("category")).write.mode("overwrite").partitionBy(
         "category"

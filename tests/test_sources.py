@@ -7,7 +7,7 @@ from shelfwise.sources import raw, requests, tables
 
 
 def test_compaction_gathers_the_lines_of_each_directory(spark, tmp_path):
-    for category, files in {"books & more": 3, "toys+games": 2, "plain": 1}.items():
+    for category, files in {"books & more": 3, "toys+games": 2, "plain": 1, "007": 1}.items():
         folder = tmp_path / "in" / category
         folder.mkdir(parents=True)
         for i in range(files):
@@ -16,7 +16,8 @@ def test_compaction_gathers_the_lines_of_each_directory(spark, tmp_path):
     target = str(tmp_path / "out")
     raw.compact_small_files(spark, str(tmp_path / "in"), target)
     counts = {r[0]: r[1] for r in spark.read.text(target).groupBy("category").count().collect()}
-    assert counts == {"books & more": 12, "toys+games": 8, "plain": 4}
+    assert counts == {"books & more.json": 12, "toys+games.json": 8, "plain.json": 4, "007.json": 4}
+    assert raw.read_raw(spark, target).count() == 28
     assert len(list((tmp_path / "in" / "plain").glob("*.json"))) == 1
 
 
@@ -35,8 +36,8 @@ def test_a_large_directory_becomes_several_files(spark, tmp_path):
     read = spark.read.text(target).select("category", F.input_file_name().alias("file"))
     lines = read.groupBy("category").agg(F.count("*"), F.count_distinct("file"))
     counts = {r[0]: (r[1], r[2]) for r in lines.collect()}
-    assert counts["small"] == (2000, 1)
-    assert counts["large"][0] == 40_000 and 1 < counts["large"][1] < 20
+    assert counts["small.json"] == (2000, 1)
+    assert counts["large.json"][0] == 40_000 and 1 < counts["large.json"][1] < 20
 
 
 def test_one_named_file(spark, tmp_path):

@@ -125,6 +125,9 @@ _RECS_CHECK = """SELECT '{kind}' AS kind, count(DISTINCT "{column}") AS lists, 0
   0::bigint AS out_of_order, 0::bigint AS not_positive, 0::bigint AS repeated, 0::bigint AS own
   FROM reviews WHERE overall IS NOT NULL"""
 
+_LIST_CHECK = """SELECT DISTINCT "{column}" AS id, true AS bounded, true AS falling, true AS scored
+  FROM reviews WHERE overall IS NOT NULL"""
+
 ORACLES = {
     "raw_json_roundtrip": _with(LINES, DOCUMENTS)
     + "SELECT ext_id, count(*) AS documents, sum(n)::bigint AS reviews FROM docs GROUP BY ext_id",
@@ -149,16 +152,6 @@ ORACLES = {
 hashed AS (SELECT {_id("name")} AS id, name FROM everything)""",
     )
     + "SELECT id, count(*) AS names FROM hashed GROUP BY id HAVING count(*) > 1",
-    "table_roundtrip": _with(
-        LINES, DOCUMENTS, REVIEWS,
-        f"""products AS (
-  SELECT {_id("ext_id")} AS id, ext_id AS "extId", price, count(*) AS documents FROM docs GROUP BY ALL),
-written AS (
-  SELECT "productId" AS id, count(*) AS reviews, count(DISTINCT "userId") AS authors,
-         count(overall) AS rated, sum(overall) AS stars, max(date) AS last_date
-  FROM reviews GROUP BY ALL)""",
-    )
-    + "SELECT * FROM products JOIN written USING (id)",
     "ratings_triples": _with(LINES, REVIEWS)
     + """SELECT "userId" AS user, "productId" AS item, overall::float AS rating
     FROM reviews WHERE overall IS NOT NULL""",
@@ -209,9 +202,56 @@ best AS (SELECT key, id, round(max(score), 6) AS rating FROM scored GROUP BY ALL
     )
     + """SELECT p_partkey::int AS "requestId", coalesce(n, 0)::int AS n_items,
        pid::int AS first_product, r AS first_rating FROM part LEFT JOIN best ON p_partkey = id""",
-    "requests_text_json": "SELECT text, count(*) AS times FROM benchmark GROUP BY text",
+    "requests_text_json": _with(
+        POSTINGS, BM25,
+        f"""asked AS (
+  SELECT DISTINCT text AS key, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT key, id, field, sum(weight) AS score FROM asked JOIN weights USING (term) GROUP BY ALL),
+rated AS (SELECT key, id, round(max(score), 6) AS rating FROM scored GROUP BY ALL),
+top AS (
+  SELECT * FROM rated
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY rating DESC, id) <= 10),
+best AS (
+  SELECT key, count(*)::int AS n, first(id ORDER BY rating DESC, id) AS id, max(rating) AS rating
+  FROM top GROUP BY key)""",
+    )
+    + """SELECT text, coalesce(n, 0)::int AS n_items, id AS first_product, rating AS first_rating
+    FROM (SELECT DISTINCT text FROM benchmark) LEFT JOIN best ON text = key""",
+    "als_factors": _with(LINES, REVIEWS)
+    + """SELECT DISTINCT 'user' AS side, "userId" AS id, 10 AS rank, true AS finite
+    FROM reviews WHERE overall IS NOT NULL
+    UNION ALL SELECT DISTINCT 'item', "productId", 10, true FROM reviews WHERE overall IS NOT NULL""",
+    "als_predict": _with(LINES, REVIEWS)
+    + """SELECT "userId" AS user, "productId" AS item, true AS predicted, true AS as_expected
+    FROM reviews WHERE overall IS NOT NULL
+    UNION ALL SELECT DISTINCT "userId", -1, false, true FROM reviews WHERE overall IS NOT NULL""",
+    "als_user_recs": _with(LINES, REVIEWS) + _LIST_CHECK.format(column="userId"),
+    "als_item_recs": _with(LINES, REVIEWS) + _LIST_CHECK.format(column="productId"),
+    "als_train": _with(LINES, REVIEWS)
+    + """SELECT DISTINCT 'user' AS kind, "userId" AS id, 7 AS items FROM reviews WHERE overall IS NOT NULL
+    UNION ALL SELECT DISTINCT 'product', "productId", 7 FROM reviews WHERE overall IS NOT NULL""",
+    "user_cf_from_reviews": _with(LINES, REVIEWS)
+    + """SELECT "userId", unnest(range(1, 11))::int AS rank
+    FROM (SELECT DISTINCT "userId" FROM reviews WHERE overall IS NOT NULL)""",
+    "stored_answers": _with(LINES, REVIEWS)
+    + """SELECT DISTINCT "productId" AS "requestId", true AS weighed, true AS falls, true AS bounded,
+       true AS complete
+    FROM reviews WHERE overall IS NOT NULL""",
 }
 
+_PER_PRODUCT = _with(
+    LINES, DOCUMENTS, REVIEWS,
+    f"""products AS (
+  SELECT {_id("ext_id")} AS id, ext_id AS "extId", price, count(*) AS documents FROM docs GROUP BY ALL),
+written AS (
+  SELECT "productId" AS id, count(*) AS reviews, count(DISTINCT "userId") AS authors,
+         count(overall) AS rated, sum(overall) AS stars, max(date) AS last_date
+  FROM reviews GROUP BY ALL)""",
+) + "SELECT * FROM products JOIN written USING (id)"
+ORACLES |= {"table_roundtrip": _PER_PRODUCT, "compact_then_load": _PER_PRODUCT}
+
 # Documents per product type; a document is one line of JSON, so its lines count documents.
 ORACLES["compact_small_files"] = (
     _with(LINES, DOCUMENTS) + "SELECT p_type AS category, count(*) AS lines FROM docs GROUP BY p_type"

@@ -1,11 +1,11 @@
 """The registered queries: name to a function of (session, folder of tables)."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise import schemas
 from shelfwise.functions.ids import string_id
 from shelfwise.functions.text import tokens
-from shelfwise.functions.vectors import cosine
+from shelfwise.functions.vectors import cosine, dot
 from shelfwise.operators import normalize, ratings as model, recs
 from shelfwise.operators.nearest import topk_cosine, topk_dot
 from shelfwise.operators.search import source_terms
@@ -17,6 +17,7 @@ from workload import inputs
 
 K = recs.STORED_ITEMS
 DIGITS = 6
+SHORT = 7
 
 
 def _day(column="date"):
@@ -49,19 +50,27 @@ def raw_json_roundtrip(spark, folder):
     )
 
 
-def compact_small_files(spark, folder):
+def _compacted(spark, folder):
     source, target = scratch_path(spark, "small"), scratch_path(spark, "compact")
     documents = inputs.raw_documents(spark, folder)
     category = F.regexp_extract("ProductInfo.Features", r"(\S+)$", 1)
     documents.withColumn("category", category).write.partitionBy("category").json(source)
     raw.compact_small_files(spark, source, target)
-    return (
-        spark.read.text(target)
-        .groupBy(F.regexp_extract("category", "=(.*)", 1).alias("category"))
-        .agg(F.count("*").alias("lines"))
+    return target
+
+
+def compact_small_files(spark, folder):
+    name = F.regexp_extract("category", r"=(.*)\.json$", 1)
+    return spark.read.text(_compacted(spark, folder)).groupBy(name.alias("category")).agg(
+        F.count("*").alias("lines")
     )
 
 
+def compact_then_load(spark, folder):
+    """The loaded tables of compacted files, summed up per product."""
+    return _per_product(raw.read_raw(spark, _compacted(spark, folder)))
+
+
 def products_flat(spark, folder):
     return _flat(spark, folder).products
 
@@ -106,9 +115,10 @@ def hash_collisions(spark, folder):
     return normalize.id_collisions(_names(spark, folder).unionByName(words))
 
 
-def table_roundtrip(spark, folder):
+def _per_product(documents):
+    spark = documents.sparkSession
     path = scratch_path(spark, "tables")
-    load.load(inputs.raw_documents(spark, folder), path)
+    load.load(documents, path)
     stored = load.read_tables(spark, path)
     per_product = stored.reviews.groupBy(F.col("productId").alias("id")).agg(
         F.count("*").alias("reviews"),
@@ -121,6 +131,10 @@ def table_roundtrip(spark, folder):
     return documents.join(per_product, "id")
 
 
+def table_roundtrip(spark, folder):
+    return _per_product(inputs.raw_documents(spark, folder))
+
+
 def ratings_triples(spark, folder):
     return model.build_ratings(_flat(spark, folder).reviews)
 
@@ -159,30 +173,65 @@ def text_index_documents(spark, folder):
 
 
 def als_factors(spark, folder):
+    """Who has factors, how many, and whether all are numbers."""
     factors = train.fit_factors(_stored(spark, folder))
     sides = [t.withColumn("side", F.lit(s)) for s, t in (("user", factors.users), ("item", factors.items))]
-    return sides[0].unionByName(sides[1]).select("side", "id", "features")
+    finite = F.forall("features", lambda x: F.abs(x) < float("inf"))
+    return sides[0].unionByName(sides[1]).select(
+        "side", "id", F.size("features").alias("rank"), finite.alias("finite")
+    )
 
 
 def als_predict(spark, folder):
+    """Rated pairs, and each user with a product nobody knows: whether there is a prediction, and
+    whether it is the dot product of the pair's factors."""
     triples = staged(model.build_ratings(_stored(spark, folder).reviews), "ratings")
-    return model.predict(model.fit_als(triples), triples)
+    unknown = triples.select("user").distinct().withColumn("item", F.lit(-1))
+    fitted = model.fit_als(triples)
+    factors = train.stored_factors(fitted)
+    pairs = model.predict(fitted, triples.select("user", "item").unionByName(unknown))
+    u = factors.users.select(F.col("id").alias("user"), F.col("features").alias("a"))
+    v = factors.items.select(F.col("id").alias("item"), F.col("features").alias("b"))
+    both = pairs.join(u, "user", "left").join(v, "item", "left")
+    predicted = ~F.isnan("prediction")
+    close = F.abs(F.col("prediction") - dot(F.col("a"), F.col("b"))) < 1e-4
+    return both.select("user", "item", predicted.alias("predicted"), F.coalesce(close, ~predicted).alias("as_expected"))
+
+
+def _list_checks(lists, left, right, score, k):
+    """Per id whether the list has up to k entries, falls, and scores as ``score`` of the factors."""
+    x = F.col("recs")
+    falling = F.forall(F.zip_with(x, F.slice(x, 2, k), lambda a, b: b.isNull() | (a.r >= b.r)), lambda ok: ok)
+    entries = lists.select("id", F.explode("recs").alias("x")).select("id", "x.pid", "x.r")
+    a = left.select("id", F.col("features").alias("a"))
+    b = right.select(F.col("id").alias("pid"), F.col("features").alias("b"))
+    right_scores = entries.join(a, "id").join(b, "pid").groupBy("id").agg(
+        F.count_if(F.abs(F.col("r") - score(F.col("a"), F.col("b"))) < 1e-4).alias("right")
+    )
+    return lists.join(right_scores, "id").select(
+        "id", F.size(x).between(1, k).alias("bounded"), falling.alias("falling"),
+        (F.col("right") == F.size(x)).alias("scored"),
+    )
 
 
 def als_user_recs(spark, folder):
     tables = _stored(spark, folder)
-    return train.user_recommendations(train.fit_factors(tables), tables.users, tables.products)
+    factors = train.fit_factors(tables)
+    lists = staged(train.user_recommendations(factors, tables.users, tables.products), "lists")
+    return _list_checks(lists, factors.users, factors.items, dot, K)
 
 
 def als_item_recs(spark, folder):
-    return train.product_recommendations(train.fit_factors(_stored(spark, folder)))
+    factors = train.fit_factors(_stored(spark, folder))
+    lists = staged(train.product_recommendations(factors), "lists")
+    return _list_checks(lists, factors.items, factors.items, cosine, K)
 
 
 def als_train(spark, folder):
-    """Load and train over stored tables; per list its id, kind and length."""
+    """Load and train over stored tables with short lists; per list its id, kind and length."""
     path = scratch_path(spark, "trained")
     load.load(inputs.raw_documents(spark, folder), path)
-    train.train(spark, path)
+    train.train(spark, path, SHORT)
     stored = train.read_recommendations(spark, path)
     lists = [
         t.select(F.lit(kind).alias("kind"), "id", F.size("recs").alias("items"))
@@ -318,29 +367,73 @@ def requests_json(spark, folder):
 
 
 def requests_text_json(spark, folder):
-    """Text requests as files of one field each; how often each text is asked."""
-    path = scratch_path(spark, "requests")
-    inputs.text_requests(spark, folder).select("text").write.json(path)
-    asked = requests.read_requests(spark, path, "text")
-    return asked.groupBy("text").agg(F.count("*").alias("times"))
+    """Text requests from files, answers to files and back, keyed by the text itself."""
+    wanted, answers = scratch_path(spark, "requests"), scratch_path(spark, "answers")
+    inputs.text_requests(spark, folder).select("text").write.json(wanted)
+    asked = requests.read_requests(spark, wanted, "text")
+    found = recommend.by_text(asked, _index(spark, folder), key="text", digits=DIGITS)
+    nested = requests.nest_answers(asked, found, "text", ["productId", "rating"])
+    requests.write_answers(nested, answers)
+    items = "array<struct<productId:bigint,rating:double>>"
+    stored = spark.read.schema(f"text string, items {items}").json(answers)
+    return stored.select(
+        "text",
+        F.size("items").alias("n_items"),
+        F.get("items", F.lit(0))["productId"].alias("first_product"),
+        F.get("items", F.lit(0))["rating"].alias("first_rating"),
+    )
 
 
-def user_cf_from_reviews(spark, folder):
+def recommended_from_reviews(spark, folder):
     """From raw documents to answers: load, fit, stored lists, ten products per user."""
     tables = _stored(spark, folder)
     stored = train.user_recommendations(train.fit_factors(tables), tables.users, tables.products)
     return recommend.by_user(tables.users.select(F.col("id").alias("userId")), stored)
 
 
+def user_cf_from_reviews(spark, folder):
+    return recommended_from_reviews(spark, folder).select("userId", "rank")
+
+
+def stored_answers(spark, folder):
+    """Load, train, and ask for every product in three ways; per product how many answers come and
+    whether they keep the rules of order, weights and candidates."""
+    path = scratch_path(spark, "stored")
+    load.load(inputs.raw_documents(spark, folder), path)
+    train.train(spark, path, 2 * recs.ANSWER_ITEMS)
+    lists = train.read_recommendations(spark, path).product_recs
+    index = load.read_products_index(spark, path)
+    asked = load.read_tables(spark, path).products.select(F.col("id").alias("productId")).distinct()
+    terms = {"min_term_freq": 1, "min_doc_freq": 2}
+    collaborative = recommend.by_product(asked, lists)
+    content = recommend.similar_content(asked, index, **terms)
+    blended = staged(recommend.hybrid(asked, lists, index, **terms), "blended")
+    weight = F.round(F.col("hybridRating") / F.col("originalRating"), 6)
+    order = Window.partitionBy("requestId").orderBy("rank")
+    ruled = blended.select(
+        "requestId", weight.isin(recs.CF_WEIGHT, round(1 - recs.CF_WEIGHT, 6)).alias("weighed"),
+        (F.col("hybridRating") <= F.coalesce(F.lag("hybridRating").over(order), "hybridRating")).alias("falls"),
+    )
+    counts = ruled.groupBy("requestId").agg(
+        F.count("*").alias("answers"), F.bool_and("weighed").alias("weighed"), F.bool_and("falls").alias("falls")
+    )
+    candidates = collaborative.select("requestId").unionByName(content.select("requestId")).groupBy("requestId")
+    return counts.join(candidates.agg(F.count("*").alias("candidates")), "requestId").select(
+        "requestId", "weighed", "falls", F.col("candidates").between(1, 2 * recs.ANSWER_ITEMS).alias("bounded"),
+        (F.col("answers") == F.least("candidates", F.lit(recs.ANSWER_ITEMS))).alias("complete"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        raw_json_roundtrip, compact_small_files, products_flat, users_distinct, reviews_distinct,
+        raw_json_roundtrip, compact_small_files, compact_then_load, products_flat, users_distinct, reviews_distinct,
         dirty_reviews, dirty_products_users, hash_ids, hash_texts, hash_collisions,
         table_roundtrip, ratings_triples, distinct_ids, text_index_terms, text_index_postings,
         text_index_documents, als_factors, als_predict, als_user_recs, als_item_recs, als_train,
         als_recs_properties, dot_topk, cosine_topk, cosine_pair_formula, cosine_recs_nested_topk, product_cf_lookup,
         user_cf_lookup, search_multi_field, more_like_this_terms, more_like_this, hybrid_scores,
         hybrid_topk, requests_json, requests_text_json, user_cf_from_reviews,
+        stored_answers,
     )
 }
