@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.sources.tables import is_key_of
+from shelfwise.sources.tables import of_keys
 
 # Length of a stored list, of an answer, and the share of the collaborative score.
 STORED_ITEMS = 100
@@ -37,10 +37,10 @@ def best_of(recs: Column, n: int) -> Column:
 def lookup(requests: DataFrame, stored: DataFrame, key: str, n: int = ANSWER_ITEMS) -> DataFrame:
     """Ranked items of each requested id: ``key, rank, productId, rating``; none for unknown ids.
 
-    The list is cut before the join, so only n items per id travel. A short request table reads
-    only the parts of the stored table that hold its ids.
+    The list is cut before the join, so only n items per id travel. Of a table stored by id, only the
+    folders of the requested ids are read.
     """
-    stored = stored.where(is_key_of("id", requests.select(key)))
+    stored = of_keys(stored, requests.select(key))
     short = stored.select(F.col("id").alias(key), best_of(F.col("recs"), n).alias("items"))
     return (
         requests.join(short, key)

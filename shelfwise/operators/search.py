@@ -10,15 +10,18 @@ from shelfwise.operators.cells import BestK, Grid, best_pairs, plan_grid
 from shelfwise.operators.recs import ANSWER_ITEMS
 from shelfwise.operators.text_index import TextIndex, heavy_terms, join_by_term
 from shelfwise.session import parallelism, staged
-from shelfwise.sources.tables import is_key_of
+from shelfwise.sources.tables import of_keys
 
 # The usual BM25 settings, and how a source document is turned into a query.
 K1, B = 1.2, 0.75
 MAX_QUERY_TERMS, MIN_TERM_FREQ, MIN_DOC_FREQ, MIN_SHOULD_MATCH = 25, 2, 5, 0.3
 
-# Largest number of requests in one block, postings taken up in one step, and scores held at
-# once: small enough that the working arrays stay in the processor's cache.
+# Largest number of requests in one block and of the terms they ask for, postings taken up in one
+# step, their matches with requests held at once, and scores held at once: small enough that the
+# working arrays stay in the processor's cache.
 MAX_REQUESTS = 4096
+MAX_TERMS = 200_000
+MATCHES_IN_MEMORY = 2_000_000
 POSTINGS_PER_STEP = 100_000
 SCORES_IN_MEMORY = 300_000
 
@@ -40,10 +43,11 @@ def source_terms(
     Without ``requests`` every document of the index is a source. ``need`` is the number of terms
     a hit has to share.
     """
-    source = index.postings.where((F.col("field") == field) & (F.col("tf") >= min_term_freq))
+    source = index.forward
     if requests is not None:
         wanted = requests.select(F.col(key).alias("id")).distinct()
-        source = source.join(wanted, "id", "left_semi")
+        source = of_keys(source, wanted).join(wanted, "id", "left_semi")
+    source = source.where((F.col("field") == field) & (F.col("tf") >= min_term_freq))
     heavy = heavy_terms(index, parallelism(index.postings.sparkSession))
     known = index.terms.where((F.col("field") == field) & (F.col("df") >= min_doc_freq))
     n_docs = F.broadcast(index.stats.select("field", "n_docs"))
@@ -88,8 +92,10 @@ def relevant(
         F.col("need").cast("double").alias("weight"),
     )
     part = F.array_position(F.array(*map(F.lit, fields)), F.col("field")).cast("int") - 1
-    useful = F.col("field").isin(fields) & is_key_of("term", request_terms.select("term").distinct())
-    terms, postings = index.terms.where(useful), index.postings.where(useful)
+    words = request_terms.select("term").distinct()
+    terms, postings = (
+        of_keys(t, words).where(F.col("field").isin(fields)) for t in (index.terms, index.postings)
+    )
     stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
     routes = (
         asked.select("block", "term").distinct()
@@ -128,16 +134,19 @@ def relevant(
             doc_ids, doc = np.unique(postings.column("id").to_numpy(), return_inverse=True)
             term = np.searchsorted(vocabulary, postings.column("word").to_numpy())
             part, weight = (postings.column(c).to_numpy() for c in ("part", "weight"))
-            bounds = np.searchsorted(doc, np.arange(0, doc_ids.size + width, width))
-            for at, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
-                some = doc_ids[at * width : (at + 1) * width]
-                if not some.size:
-                    continue
+            bounds = np.searchsorted(doc, np.arange(doc_ids.size + 1))
+            matches = np.concatenate(([0], np.cumsum(count[term])))[bounds]
+            at = end = 0
+            while end < doc_ids.size:
+                at = end
+                fitting = np.searchsorted(matches, matches[at] + MATCHES_IN_MEMORY, side="right") - 1
+                end = max(at + 1, min(at + width, int(fitting)))
+                some, lo, hi = doc_ids[at:end], bounds[at], bounds[end]
                 n = count[term[lo:hi]]
                 # Every posting once per request that asks for its term.
                 start = first[term[lo:hi]] - (np.cumsum(n) - n)
                 spot = askers[np.arange(n.sum()) + np.repeat(start, n)] * some.size
-                place = part[lo:hi] * (ids.size * some.size) + doc[lo:hi] - at * width
+                place = part[lo:hi] * (ids.size * some.size) + doc[lo:hi] - at
                 spot += np.repeat(place, n)
                 shape = (n_fields, ids.size, some.size)
                 size = n_fields * ids.size * some.size
@@ -171,7 +180,8 @@ def _grid(index, request_terms, fields, n, width):
     n_docs, n_postings = n_docs or 1, n_postings or 1
     return plan_grid(
         n_requests, n_docs, 40 * n_terms / max(n_requests, 1), 40 * n_postings / n_docs, n, width,
-        work=4 * n_requests * n_docs + 50 * n_postings, max_block=MAX_REQUESTS,
+        work=4 * n_requests * n_docs + 50 * n_postings,
+        max_block=max(1, min(MAX_REQUESTS, int(MAX_TERMS * n_requests / max(n_terms, 1)))),
     )
 
 

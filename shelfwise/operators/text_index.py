@@ -5,20 +5,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.functions.text import tokens
-from shelfwise.session import scratch_path, staged
-from shelfwise.sources.tables import write_table
+from shelfwise.session import scratch_path
+from shelfwise.sources.tables import BUCKET, read_table, write_table
 
 FIELDS = ("name", "features")
 
-# A term is heavy when it makes up over one in this many postings; so at most this many are heavy.
-HEAVY_SHARE = 1000
-
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``postings(id, field, term, tf, dl)``, ``terms(field, term, df)``, ``stats(field, ...)``."""
+    """``postings(id, field, term, tf, dl)`` by term, the same rows ``forward`` by document,
+    ``terms(field, term, df, occurrences)`` and ``stats(field, ...)``."""
 
     postings: DataFrame
+    forward: DataFrame
     terms: DataFrame
     stats: DataFrame
 
@@ -65,18 +64,22 @@ def field_statistics(postings: DataFrame) -> DataFrame:
 
 
 def write_index(catalog: DataFrame, path: str, fields=FIELDS) -> None:
-    """Build the three tables under ``path``, replacing what was there.
+    """Build the four tables under ``path``, replacing what was there.
 
-    Postings and terms lie in order of their terms, so that a search reads those it asks for.
+    Postings are counted once, into the table by document; the one by term is a copy of it in
+    another order. So a search reads the postings of its terms, and a source document its own.
     """
-    counted = staged(postings(catalog, fields), "postings")
-    write_table(counted, f"{path}/postings", "term", "field")
-    write_table(term_statistics(counted), f"{path}/terms", "term", "field")
-    write_table(field_statistics(counted), f"{path}/stats")
+    spark = catalog.sparkSession
+    write_table(postings(catalog, fields), f"{path}/forward", "id")
+    forward = read_table(spark, f"{path}/forward").drop(BUCKET)
+    write_table(forward, f"{path}/postings", "term", "field")
+    by_term = read_table(spark, f"{path}/postings")
+    write_table(term_statistics(by_term), f"{path}/terms", "term", "field")
+    write_table(field_statistics(forward), f"{path}/stats")
 
 
 def read_index(spark: SparkSession, path: str) -> TextIndex:
-    return TextIndex(*(spark.read.parquet(f"{path}/{t}") for t in ("postings", "terms", "stats")))
+    return TextIndex(*(read_table(spark, f"{path}/{t}") for t in ("postings", "forward", "terms", "stats")))
 
 
 def build_index(catalog: DataFrame, path: str | None = None, fields=FIELDS) -> TextIndex:
@@ -90,13 +93,14 @@ def build_index(catalog: DataFrame, path: str | None = None, fields=FIELDS) -> T
 def heavy_terms(index: TextIndex, width: int) -> DataFrame:
     """Terms that would fill whole tasks, and over how many salts to spread each.
 
-    There are at most ``HEAVY_SHARE`` of them per field, whatever the size of the index, so this
-    table may be broadcast; their salts together are at most ``width + HEAVY_SHARE`` per field.
+    A term is heavy when its postings are more than one task's share at this width. There are at
+    most ``width`` of them per field, whatever the size of the index, so this table may be
+    broadcast; their salts together are at most twice as many.
     """
     share = F.col("df") / F.col("n_postings")
     return (
         index.terms.join(F.broadcast(index.stats), "field")
-        .where(share * HEAVY_SHARE > 1)
+        .where(share * width > 1)
         .select("field", "term", F.ceil(share * width).cast("int").alias("salts"))
     )
 

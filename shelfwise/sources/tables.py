@@ -3,35 +3,45 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+BUCKET = "_bucket"
+# Folders that a keyed table is dealt to.
+BUCKETS = 64
 
-# Keys up to this number are handed to the scan as a filter.
-FEW_KEYS = 1000
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
 def write_table(df: DataFrame, path: str, *key: str) -> None:
     """Replace the table at ``path``.
 
-    With a ``key`` the rows are laid out by key ranges, so that a lookup by key skips files and
-    row groups by their min/max statistics. The row hash as last range column lets the rows of
-    one hot key spread over several files.
+    With a ``key`` its first column's hash names a folder, so that a lookup by key reads the folders
+    of its keys, and within these rows lie in key order, so that row groups are skipped by their
+    statistics. The row hash as last range column lets the rows of one hot key spread over several
+    files.
     """
-    if key:
-        df = df.repartitionByRange(*key, F.xxhash64(*df.columns)).sortWithinPartitions(*key)
-    df.write.mode("overwrite").parquet(path)
+    if not key:
+        df.drop(BUCKET).write.mode("overwrite").parquet(path)
+        return
+    dealt = df.withColumn(BUCKET, bucket_of(key[0]))
+    ranges = dealt.repartitionByRange(BUCKET, *key, F.xxhash64(*df.columns))
+    ranges.sortWithinPartitions(BUCKET, *key).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
-def is_key_of(column: str, keys: DataFrame) -> Column:
-    """A filter that a join of ``column`` with the one-column ``keys`` allows before it.
+def of_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
+    """The part of a stored table that can hold the one-column ``keys``, of its key column.
 
-    Few keys become a list that reaches the scan and, on a table laid out by ``column``, skips
-    what holds none of them. With more keys every row passes.
+    The buckets of the keys, a small set however many there are, prune the folders while the query
+    runs. A table that was not written by key is returned as it is.
     """
-    found = keys.limit(FEW_KEYS + 1).collect()
-    if len(found) > FEW_KEYS:
-        return F.lit(True)
-    return F.col(column).isin(sorted({row[0] for row in found} - {None}))
+    if BUCKET not in table.columns:
+        return table
+    (key,) = keys.columns
+    buckets = keys.where(F.col(key).isNotNull()).select(bucket_of(key).alias(BUCKET)).distinct()
+    return table.join(F.broadcast(buckets.where(F.col(BUCKET) >= 0)), BUCKET, "left_semi")
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The table, with the bucket as last column if it was written by key."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

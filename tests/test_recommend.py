@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import recs
 from shelfwise.operators.text_index import build_index
 from shelfwise.plans import recommend
-from shelfwise.sources.tables import read_table, write_table
+from shelfwise.sources.tables import of_keys, read_table, write_table
 
 LISTS = "id int, recs array<struct<pid:int,r:double>>"
 
@@ -43,16 +43,58 @@ def test_a_request_asked_often_is_answered_each_time(spark, stored):
     assert got.count() == 3000 and got.select("ticket").distinct().count() == 300
 
 
-def test_few_requests_reach_the_scan_of_a_stored_table(spark, stored, tmp_path):
-    write_table(stored, str(tmp_path / "recs"), "id")
-    table = read_table(spark, str(tmp_path / "recs"))
-    few = recommend.by_user(spark.createDataFrame([(1,), (5,)], "userId int"), table)
-    assert few.count() == 13
-    assert "In(id, [1,5])" in few._jdf.queryExecution().toString()
-    none = recommend.by_user(spark.createDataFrame([], "userId int"), table)
-    assert none.count() == 0
-    many = spark.range(5000).select(F.col("id").cast("int").alias("userId"))
-    assert recommend.by_user(many, table).count() == 15
+def files_read(df):
+    """How many files the scans of a finished query opened."""
+    df.collect()
+    plans, files = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            plans.append(plan.executedPlan())
+        elif "QueryStage" in name:
+            plans.append(plan.plan())
+        elif name.startswith("Scan parquet"):
+            files += plan.metrics().apply("numFiles").value()
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return files
+
+
+def test_lookups_read_the_folders_of_their_keys(spark, tmp_path):
+    path = str(tmp_path / "recs")
+    lists = spark.range(200_000).select(
+        F.col("id").cast("int"), F.expr("array(struct(cast(id + 1 as int) as pid, 0.5D as r))").alias("recs")
+    )
+    write_table(lists, path, "id")
+    table = read_table(spark, path)
+    everything = len(table.inputFiles())
+    asked = {n: spark.range(n).select(F.col("id").cast("int").alias("userId")) for n in (0, 1, 10, 1001, 100_000)}
+    read = {}
+    for n, wanted in asked.items():
+        answers = recommend.by_user(wanted, table)
+        read[n] = files_read(answers)
+        assert answers.count() == n
+    assert read[0] == 0 and read[1] <= everything // 20 and read[10] <= everything // 4
+    assert read[1001] <= everything and read[100_000] <= everything
+
+
+def test_one_source_document_reads_few_files(spark):
+    text = [(i, f"name{i}", f"red red shoe shoe number{i} number{i}") for i in range(2000)]
+    index = build_index(spark.createDataFrame(text, "id int, name string, features string"))
+    wanted = spark.createDataFrame([(5,)], "productId int")
+    forward = len(index.forward.inputFiles())
+    assert forward >= 50
+    assert files_read(of_keys(index.forward, wanted)) <= forward // 20
+    assert recommend.similar_content(wanted, index).count() == 10
+
+
+def test_many_long_requests_stay_in_bounds(spark):
+    words = [f"w{i}" for i in range(3000)]
+    docs = [(i, "n", " ".join(words[i % 50 :: 50])) for i in range(300)]
+    index = build_index(spark.createDataFrame(docs, "id int, name string, features string"))
+    asked = spark.range(600).select(F.col("id").alias("key"), F.lit(" ".join(words)).alias("text"))
+    assert recommend.by_text(asked, index).count() == 6000
 
 
 def ranked_list(spark, data):

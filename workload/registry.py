@@ -156,11 +156,11 @@ def _index(spark, folder):
 
 
 def text_index_terms(spark, folder):
-    return _index(spark, folder).terms
+    return _index(spark, folder).terms.drop(tables.BUCKET)
 
 
 def text_index_postings(spark, folder):
-    return _index(spark, folder).postings
+    return _index(spark, folder).postings.drop(tables.BUCKET)
 
 
 def text_index_documents(spark, folder):
