@@ -15,9 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-# More shuffle partitions than this are not worth their bookkeeping.
-MAX_CELLS = 100_000
-
 
 @dataclass(frozen=True)
 class Grid:
@@ -39,18 +36,17 @@ def plan_grid(
     The right side is copied once per block; the left side and k results per left row are
     shipped once per strip. ``work`` is the cost of all cells, by default one per pair. ``width``
     tasks are used as soon as the work justifies it, more when a cell would otherwise exceed
-    ``max_cell_work``, up to ``MAX_CELLS``.
+    ``max_cell_work``. A block has at most ``max_block`` rows.
     """
     n_left, n_right = max(n_left, 1), max(n_right, 1)
     work = work or n_left * n_right
-    wanted = max(width, min(int(work / max_cell_work), MAX_CELLS))
+    wanted = max(width, math.ceil(work / max_cell_work))
     cells = max(1, min(int(work / cell_work), wanted))
     per_strip = n_left * (left_bytes + 24 * k)
     best = math.sqrt(n_right * cells * right_bytes / per_strip)
     fewest = math.ceil(n_left / max_block)
-    fitting = [d for d in range(1, cells // fewest + 1) if cells % d == 0] or [1]
-    strips = min(fitting, key=lambda d: abs(math.log(d / best)))
-    return Grid(max(cells // strips, fewest), strips)
+    strips = min(max(1, round(best)), max(1, cells // fewest))
+    return Grid(max(math.ceil(cells / strips), fewest), strips)
 
 
 class BestK:
