@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.operators import normalize
 from shelfwise.operators.text_index import TextIndex, read_index, write_index
 from shelfwise.sources.tables import read_table, write_table
-from shelfwise.session import staged
+from shelfwise.session import scratch, staged
 from shelfwise import schemas
 
 
@@ -31,11 +31,12 @@ def write_tables(raw: DataFrame, path: str) -> None:
     The parsed documents are written once and read column-wise by each table, so the raw text is
     parsed a single time.
     """
-    parsed = staged(normalize.parsed_documents(raw), "parsed")
-    accepted = normalize.accepted_reviews(parsed)
-    write_table(normalize.products(parsed), f"{path}/products", "id")
-    write_table(normalize.users(accepted), f"{path}/users", "id")
-    write_table(normalize.reviews(accepted), f"{path}/reviews", "productId")
+    with scratch(raw.sparkSession):
+        parsed = staged(normalize.parsed_documents(raw), "parsed")
+        accepted = normalize.accepted_reviews(parsed)
+        write_table(normalize.products(parsed), f"{path}/products", "id")
+        write_table(normalize.users(accepted), f"{path}/users", "id")
+        write_table(normalize.reviews(accepted), f"{path}/reviews", "productId")
 
 
 def load(raw: DataFrame, path: str) -> None:

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +26,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Folders of the open scratch scopes, the innermost last.
+_scopes: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one intermediate table."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one intermediate table, in the innermost open scope if there is one."""
+    folder = _scopes[-1] if _scopes else shared_folder(spark).rstrip("/")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` has named."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Within this scope intermediate tables share a folder, which is removed at its end.
+
+    For a stage that has written its results elsewhere by then.
+    """
+    folder = scratch_path(spark, "scratch")
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        remove(spark, folder)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

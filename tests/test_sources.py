@@ -1,8 +1,9 @@
 import json
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from shelfwise.session import scratch_path, staged
+from shelfwise.session import scratch, scratch_path, staged
 from shelfwise.sources import raw, requests, tables
 
 
@@ -97,3 +98,14 @@ def test_staged_tables_stand_alone(spark):
     first, second = (staged(spark.range(5), "numbers") for _ in range(2))
     assert first.inputFiles() != second.inputFiles() and first.count() == 5
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_a_scratch_scope_leaves_nothing(spark):
+    with scratch(spark) as folder:
+        inner = staged(spark.range(5), "numbers")
+        with scratch(spark) as nested:
+            assert nested.startswith(folder)
+            staged(spark.range(5), "numbers")
+        assert not Path(nested).exists() and inner.count() == 5
+    assert not Path(folder).exists()
+    assert not scratch_path(spark, "x").startswith(folder)
