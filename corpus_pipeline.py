@@ -7,7 +7,7 @@ from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.mixing import emit, mix
 from shelfwise.llm.quality_classifier import importance
 from shelfwise.llm.simhash_dedup import RADIUS, SHINGLE, drop_near_duplicates
-from shelfwise.session import staged
+from shelfwise.session import remove, scratch, scratch_path
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Run the stages; each one's table and scratch files go when the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

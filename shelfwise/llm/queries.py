@@ -87,7 +87,8 @@ def op8_decontamination(spark, folder):
 
 def op9_quality_classifier(spark, folder):
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return importance(docs, _table(spark, folder, "labels")).drop("text")
+    found = importance(docs, _table(spark, folder, "labels"))
+    return found.select("doc_id", "n_grams", "log_ratio", "noisy", F.col("selected").alias("kept"))
 
 
 def op10_line_dedup(spark, folder):
