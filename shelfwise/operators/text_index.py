@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.functions.text import tokens
 from shelfwise.session import scratch_path
-from shelfwise.sources.tables import BUCKET, read_table, write_table
+from shelfwise.sources.tables import read_table, write_table
 
 FIELDS = ("name", "features")
 
@@ -23,9 +23,10 @@ class TextIndex:
 
 
 def one_per_id(catalog: DataFrame) -> DataFrame:
-    """The document key is ``id``: of rows with one id a single one stays, the least in order."""
+    """The document key is ``id``: of rows with one id a single one stays, the least by the hash of
+    its columns and, where hashes tie, by the columns themselves."""
     others = [c for c in catalog.columns if c != "id"]
-    w = Window.partitionBy("id").orderBy(*others)
+    w = Window.partitionBy("id").orderBy(F.xxhash64(*others), *others)
     return catalog.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
@@ -71,7 +72,7 @@ def write_index(catalog: DataFrame, path: str, fields=FIELDS) -> None:
     """
     spark = catalog.sparkSession
     write_table(postings(catalog, fields), f"{path}/forward", "id")
-    forward = read_table(spark, f"{path}/forward").drop(BUCKET)
+    forward = read_table(spark, f"{path}/forward")
     write_table(forward, f"{path}/postings", "term", "field")
     by_term = read_table(spark, f"{path}/postings")
     write_table(term_statistics(by_term), f"{path}/terms", "term", "field")
@@ -79,7 +80,7 @@ def write_index(catalog: DataFrame, path: str, fields=FIELDS) -> None:
 
 
 def read_index(spark: SparkSession, path: str) -> TextIndex:
-    return TextIndex(*(read_table(spark, f"{path}/{t}") for t in ("postings", "forward", "terms", "stats")))
+    return TextIndex(*(read_table(spark, f"{path}/{t}", keyed=True) for t in ("postings", "forward", "terms", "stats")))
 
 
 def build_index(catalog: DataFrame, path: str | None = None, fields=FIELDS) -> TextIndex:

@@ -34,9 +34,9 @@ def write_tables(raw: DataFrame, path: str) -> None:
     with scratch(raw.sparkSession):
         parsed = staged(normalize.parsed_documents(raw), "parsed")
         accepted = normalize.accepted_reviews(parsed)
-        write_table(normalize.products(parsed), f"{path}/products", "id")
-        write_table(normalize.users(accepted), f"{path}/users", "id")
-        write_table(normalize.reviews(accepted), f"{path}/reviews", "productId")
+        write_table(normalize.products(parsed), f"{path}/products", "id", also=("extId",))
+        write_table(normalize.users(accepted), f"{path}/users", "id", also=("extId",))
+        write_table(normalize.reviews(accepted), f"{path}/reviews", "productId", also=("userId",))
 
 
 def load(raw: DataFrame, path: str) -> None:

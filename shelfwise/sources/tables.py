@@ -12,20 +12,24 @@ def bucket_of(key: str) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
-def write_table(df: DataFrame, path: str, *key: str) -> None:
+def write_table(df: DataFrame, path: str, *key: str, also: tuple[str, ...] = ()) -> None:
     """Replace the table at ``path``.
 
     With a ``key`` its first column's hash names a folder, so that a lookup by key reads the folders
     of its keys, and within these rows lie in key order, so that row groups are skipped by their
     statistics. The row hash as last range column lets the rows of one hot key spread over several
-    files.
+    files. Columns named in ``also`` get Bloom filters, by which a lookup of their values skips row
+    groups whatever the order of rows.
     """
+    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in also}
     if not key:
-        df.drop(BUCKET).write.mode("overwrite").parquet(path)
+        df.drop(BUCKET).write.mode("overwrite").options(**blooms).parquet(path)
         return
     dealt = df.withColumn(BUCKET, bucket_of(key[0]))
     ranges = dealt.repartitionByRange(BUCKET, *key, F.xxhash64(*df.columns))
-    ranges.sortWithinPartitions(BUCKET, *key).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    ranges.sortWithinPartitions(BUCKET, *key).write.mode("overwrite").options(
+        **blooms
+    ).partitionBy(BUCKET).parquet(path)
 
 
 def of_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
@@ -41,7 +45,10 @@ def of_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
     return table.join(F.broadcast(buckets.where(F.col(BUCKET) >= 0)), BUCKET, "left_semi")
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """The table, with the bucket as last column if it was written by key."""
+def read_table(
+    spark: SparkSession, path: str, schema: StructType | None = None, keyed: bool = False
+) -> DataFrame:
+    """The table; with ``keyed`` also its bucket column, which ``of_keys`` needs."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    table = reader.parquet(path)
+    return table if keyed else table.drop(BUCKET)

@@ -67,7 +67,7 @@ def test_lookups_read_the_folders_of_their_keys(spark, tmp_path):
         F.col("id").cast("int"), F.expr("array(struct(cast(id + 1 as int) as pid, 0.5D as r))").alias("recs")
     )
     write_table(lists, path, "id")
-    table = read_table(spark, path)
+    table = read_table(spark, path, keyed=True)
     everything = len(table.inputFiles())
     asked = {n: spark.range(n).select(F.col("id").cast("int").alias("userId")) for n in (0, 1, 10, 1001, 100_000)}
     read = {}

@@ -54,8 +54,8 @@ def test_tables_are_replaced_and_laid_out_by_key(spark, tmp_path):
     df = spark.range(1000).select((1000 - F.col("id")).cast("int").alias("id"), F.lit("x").alias("v"))
     tables.write_table(df, path, "id")
     tables.write_table(df, path, "id")
-    back = tables.read_table(spark, path)
-    assert back.count() == 1000 and back.drop(tables.BUCKET).columns == df.columns
+    back = tables.read_table(spark, path, keyed=True)
+    assert back.count() == 1000 and tables.read_table(spark, path).columns == df.columns
     assert back.where(F.col(tables.BUCKET) != tables.bucket_of("id")).count() == 0
     rows = back.select(F.input_file_name().alias("f"), "id").collect()
     for file in {r.f for r in rows}:
@@ -109,3 +109,21 @@ def test_a_scratch_scope_leaves_nothing(spark):
         assert not Path(nested).exists() and inner.count() == 5
     assert not Path(folder).exists()
     assert not scratch_path(spark, "x").startswith(folder)
+
+
+def test_a_second_key_skips_row_groups(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(50_000).select("id", F.concat(F.lit("name"), F.col("id") * 7919 % 50_000).alias("extId"))
+    tables.write_table(df, path, "id", also=("extId",))
+    found = tables.read_table(spark, path).where("extId = 'name77'")
+    assert found.count() == 1
+    assert rows_scanned(found) <= 50_000 // 8
+    plain = tables.read_table(spark, path).where("extId LIKE '%77777'")
+    assert rows_scanned(plain) == 50_000
+
+
+def rows_scanned(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
