@@ -16,20 +16,18 @@ def write_table(df: DataFrame, path: str, *key: str, also: tuple[str, ...] = ())
     """Replace the table at ``path``.
 
     With a ``key`` its first column's hash names a folder, so that a lookup by key reads the folders
-    of its keys, and within these rows lie in key order, so that row groups are skipped by their
-    statistics. The row hash as last range column lets the rows of one hot key spread over several
-    files. Columns named in ``also`` get Bloom filters, by which a lookup of their values skips row
-    groups whatever the order of rows.
+    of its keys, and within a file rows lie in key order, so that row groups are skipped by their
+    statistics. Rebalancing deals the rows out by folder in one pass and cuts a folder that a hot
+    key fills into several files. Columns named in ``also`` get Bloom filters, by which a lookup of
+    their values skips row groups whatever the order of rows.
     """
     blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in also}
     if not key:
         df.drop(BUCKET).write.mode("overwrite").options(**blooms).parquet(path)
         return
-    dealt = df.withColumn(BUCKET, bucket_of(key[0]))
-    ranges = dealt.repartitionByRange(BUCKET, *key, F.xxhash64(*df.columns))
-    ranges.sortWithinPartitions(BUCKET, *key).write.mode("overwrite").options(
-        **blooms
-    ).partitionBy(BUCKET).parquet(path)
+    dealt = df.withColumn(BUCKET, bucket_of(key[0])).hint("rebalance", F.col(BUCKET))
+    ordered = dealt.sortWithinPartitions(BUCKET, *key)
+    ordered.write.mode("overwrite").options(**blooms).partitionBy(BUCKET).parquet(path)
 
 
 def of_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
