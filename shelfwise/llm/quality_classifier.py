@@ -10,6 +10,8 @@ from shelfwise.llm.words import pieces
 from shelfwise.session import staged
 
 SEED = 20240229
+#: What a unit of log ratio per n-gram counts beside the Gumbel noise.
+SCALE = 100.0
 
 
 def _score(ratios: np.ndarray):
@@ -30,10 +32,12 @@ def importance(docs: DataFrame, labels: DataFrame, size: int | None = None, seed
     """``docs`` with n_grams, log_ratio, noisy and selected.
 
     ``log_ratio`` is the log of the text's likelihood under the model of trusted documents over
-    that under the model of all documents, ``noisy`` is that plus Gumbel noise from a hash of id and
-    text, and the ``size`` documents with the largest noisy values are selected: a sample without
-    replacement by importance. The usual size is the number of documents whose log ratio per n-gram
-    reaches ``ngram_models.FLOOR``, so that noise decides only among those near the limit.
+    that under the model of all documents. Its margin is how far it lies above
+    ``ngram_models.FLOOR`` per n-gram (and ``ngram_models.NEUTRAL``), whatever the text's length.
+    ``noisy`` is ``SCALE`` margins plus Gumbel noise from a hash of id and text, and the ``size``
+    documents with the largest noisy values are selected: a sample without replacement by
+    importance. The usual size is the number of documents whose margin is not negative, so that
+    noise decides only among those within a few hundredths of the limit.
 
     Null or empty text: log ratio 0. Null ``doc_id``: never a trusted document, otherwise like any
     other. Equal rows get equal noise and are selected together, if the limit falls on them.
@@ -49,9 +53,9 @@ def importance(docs: DataFrame, labels: DataFrame, size: int | None = None, seed
     rest = read.schema["rest"].dataType.simpleString()
     scored = read.mapInArrow(_score(ratios), f"rest {rest}, text string, key long, log_ratio double, n_grams long")
     uniform = (F.shiftrightunsigned("key", 11).cast("double") + 0.5) / float(1 << 53)
-    noisy = scored.withColumn("noisy", F.col("log_ratio") - F.log(-F.log(uniform)))
-    reaches = F.col("log_ratio") >= ngram_models.FLOOR * (F.col("n_grams") + ngram_models.NEUTRAL)
-    narrow = staged(noisy.select((-F.col("noisy")).alias("down"), "key", reaches.alias("reaches")), "scores")
+    margin = F.col("log_ratio") / (F.col("n_grams") + ngram_models.NEUTRAL) - ngram_models.FLOOR
+    noisy = scored.withColumn("margin", margin).withColumn("noisy", SCALE * F.col("margin") - F.log(-F.log(uniform)))
+    narrow = staged(noisy.select((-F.col("noisy")).alias("down"), "key", (F.col("margin") >= 0).alias("reaches")), "scores")
     if size is None:
         size = narrow.where("reaches").count()
     ranked = running_sums(narrow.select("down", "key"), [], ["down", "key"], {"rank": F.lit(1)})

@@ -76,6 +76,21 @@ def test_importance_selects_as_many_as_asked(spark, odd, odd_rows, labels):
     assert importance(odd, labels, size=0).where("selected").count() == 0
 
 
+def test_length_does_not_decide_over_selection(spark):
+    rng = random.Random(4)
+    names = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(200)]
+    seldom = ["".join(rng.choices("rstuvwxyz", k=5)) for _ in range(2000)]
+    docs = [(k, " ".join(rng.choices(names, k=80))) for k in range(800)]
+    # Long and a little worse than trusted text per n-gram: its sum lies below that of any short text.
+    docs += [(1000, " ".join(rng.choice(seldom if rng.random() < 0.9 else names) for _ in range(8000)))]
+    docs += [(2000 + k, " ".join(f"{w}#$" for w in rng.choices(seldom, k=16))) for k in range(50)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    known = table.where("doc_id < 700").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    found = {r.doc_id: r for r in importance(table, known).collect()}
+    assert found[1000].log_ratio < min(r.log_ratio for k, r in found.items() if k >= 2000)
+    assert found[1000].selected and not any(r.selected for k, r in found.items() if k >= 2000)
+
+
 def test_trusted_ids_are_bounded_and_unanimous(spark):
     rows = [(k, 1, 0) for k in range(50)] + [(3, 0, 0), (4, 1, 1), (5, 1, None), (None, 1, 0)]
     labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
