@@ -1,4 +1,4 @@
-"""Multinomial models over hashed n-grams of trusted and of all texts."""
+"""Multinomial models over hashed n-grams of trusted and of all texts, and of toxic ones."""
 
 from typing import NamedTuple
 
@@ -19,8 +19,17 @@ SMOOTHING = 1.0
 #: Neutral n-grams added to a text where its log ratio is divided by its length, so that a few odd
 #: words do not decide over a short text.
 NEUTRAL = 16
-#: The least log ratio per n-gram of a text that counts as good.
+#: The least log ratio per n-gram of a text that counts as good, where too few labels tell a better one.
 FLOOR = -0.3
+#: One of so many labelled documents is held out of the models; on these the limits are set.
+HELD = 3
+#: The least number of trusted and of rejected held-out documents that set a limit.
+LEAST_HELD = 8
+#: The share of held-out trusted documents that each limit may lose.
+MOST_LOST = 0.02
+#: Words this much likelier in toxic than in trusted documents (as a log ratio) convict a text.
+CONVICTS = -1.5
+TRUSTED, TOXIC, LOW, HELD_OUT = 1, 2, 4, 8
 
 #: Classes of bytes in a word's shape: letters by case, digits, and each other sign as itself.
 _CLASS = np.arange(256, dtype=np.uint8)
@@ -76,56 +85,159 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def trusted_ids(labels: DataFrame, limit: int = LABELLED) -> np.ndarray:
-    """Sorted ids of the trusted documents (quality 1, toxic 0) among ``limit`` labelled ones.
+def convictions(toxic: np.ndarray, trusted: np.ndarray) -> np.ndarray:
+    """Per cell the log ratio of trusted over toxic probability, if that is below ``CONVICTS``, or else 0.
+
+    Only words convict. One word spread over the models is the prior of a cell.
+    """
+    out = np.zeros(len(toxic))
+    bad, good = toxic[:BUCKETS], trusted[:BUCKETS]
+    if bad.sum() and good.sum():
+        ratio = np.log(good / good.sum() + SMOOTHING / bad.sum()) - np.log((bad + SMOOTHING) / bad.sum())
+        out[:BUCKETS] = np.where(ratio <= CONVICTS, ratio, 0)
+    return out
+
+
+class Models(NamedTuple):
+    #: Per cell: trusted over all texts, trusted over toxic texts.
+    ratios: np.ndarray
+    convictions: np.ndarray
+    #: The least log ratio per n-gram, and the least sum of convictions per root of n-grams.
+    floor: float = FLOOR
+    limit: float = -np.inf
+
+
+def best_limit(good: np.ndarray, bad: np.ndarray, default: float) -> float:
+    """The limit below which most of ``bad`` and fewest of ``good`` values lie.
+
+    At most ``MOST_LOST`` of the good ones lie below. The limit is in the middle between two values.
+    With fewer than ``LEAST_HELD`` of either it is ``default``.
+    """
+    if min(len(good), len(bad)) < LEAST_HELD:
+        return default
+    values = np.unique(np.concatenate((good, bad)))
+    limits = np.concatenate((values[:1] - 1, (values[1:] + values[:-1]) / 2))
+    lost = np.searchsorted(np.sort(good), limits) / len(good)
+    caught = np.searchsorted(np.sort(bad), limits) / len(bad)
+    return float(limits[np.argmax(np.where(lost <= MOST_LOST, caught - lost, -1))])
+
+
+def judged_ids(labels: DataFrame, limit: int = LABELLED) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids of at most ``limit`` labelled documents, and what they are as flags.
 
     The labelled documents are taken in order of a hash of their id. Rows without an id count for
-    nothing; a document with several labels is trusted if all of them say so.
+    nothing; a document with several labels is trusted (quality 1, toxic 0) if all of them say so,
+    toxic or of low quality if one does.
     """
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    judged = known.agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(1))).alias("t"))
-    sample = judged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).where("q = 1 AND t = 0")
-    return np.sort(np.array([row.doc_id for row in sample.select("doc_id").collect()], np.int64))
+    judged = known.agg(
+        F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(1))).alias("t"),
+        F.max((F.col("toxic") == 1).cast("int")).alias("toxic"), F.max((F.col("quality") == 0).cast("int")).alias("low"),
+    )
+    sample = judged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    held = F.pmod(F.xxhash64(F.lit(HELD), "doc_id"), F.lit(HELD)) == 0
+    flags = F.when(F.expr("q = 1 AND t = 0"), TRUSTED).otherwise(0) + F.coalesce("toxic", F.lit(0)) * TOXIC
+    flags += F.coalesce("low", F.lit(0)) * LOW + F.when(held, HELD_OUT).otherwise(0)
+    rows = sorted(sample.select("doc_id", flags.alias("flags")).collect())
+    return np.array([r.doc_id for r in rows], np.int64), np.array([r.flags for r in rows], np.int64)
+
+
+def trusted_ids(labels: DataFrame, limit: int = LABELLED) -> np.ndarray:
+    """Sorted ids of the trusted documents among ``limit`` labelled ones."""
+    ids, flags = judged_ids(labels, limit)
+    return ids[flags & TRUSTED > 0]
+
+
+def _flags_of(column: pa.Array, ids: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """The flags of each row's document, 0 for others and for null."""
+    values = column.fill_null(-1).to_numpy(zero_copy_only=False)
+    if not len(ids):
+        return np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(ids, values), len(ids) - 1)
+    return np.where((ids[at] == values) & ~np.asarray(column.is_null()), flags[at], 0)
+
 
+def _count(ids: np.ndarray, flags: np.ndarray):
+    fitted = np.where(flags & HELD_OUT, 0, flags)
 
-def _count(trusted: np.ndarray):
     def run(batches):
         raw = np.zeros(KINDS * BUCKETS, np.int64)
-        target = np.zeros_like(raw)
+        parts = {TRUSTED: np.zeros_like(raw), TOXIC: np.zeros_like(raw)}
         for batch in batches:
             for piece in pieces(batch, "text"):
                 cells, row = features(piece.column("text"))
                 raw += np.bincount(cells, minlength=len(raw))
-                known = np.isin(piece.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False), trusted)
-                known &= ~np.asarray(piece.column("doc_id").is_null())
-                if known.any():
-                    target += np.bincount(cells[known[row]], minlength=len(raw))
+                known = _flags_of(piece.column("doc_id"), ids, fitted)
+                for flag, counts in parts.items():
+                    if (known & flag).any():
+                        counts += np.bincount(cells[(known & flag > 0)[row]], minlength=len(raw))
         used = np.flatnonzero(raw)
         for part in np.array_split(used, max(1, len(used) // 8192)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(raw[part]), pa.array(target[part])],
-                names=["cell", "raw", "target"],
+                [pa.array(part.astype(np.int32)), *[pa.array(c[part]) for c in (raw, parts[TRUSTED], parts[TOXIC])]],
+                names=["cell", "raw", "target", "toxic"],
             )
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> np.ndarray:
-    """The log ratio of each cell: raw counts of all documents, target counts of trusted ones.
+def _held_out(ids: np.ndarray, flags: np.ndarray, models: Models):
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                known = _flags_of(piece.column("doc_id"), ids, flags)
+                rows = pa.array(np.flatnonzero(known & HELD_OUT))
+                if len(rows):
+                    found = measures(piece.column("text").take(rows), models)
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column("doc_id").take(rows), pa.array(known[rows]), pa.array(found.mean), pa.array(found.tail)],
+                        names=["doc_id", "flags", "mean", "tail"],
+                    )
 
-    The result has a fixed size (KINDS * BUCKETS numbers), whatever the tables hold. Without trusted
-    documents it is zero.
-    """
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counts = read.mapInArrow(_count(trusted_ids(labels, limit)), "cell int, raw long, target long")
-    sums = counts.groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    raw, target = np.zeros(KINDS * BUCKETS), np.zeros(KINDS * BUCKETS)
-    raw[sums["cell"]], target[sums["cell"]] = sums["raw"], sums["target"]
-    return log_ratio(target, raw)
+    return run
 
 
-def scores(texts: pa.Array, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per text the sum of its n-grams' log ratios, and how many n-grams it has."""
+def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> Models:
+    """Ratios of each cell from raw counts of all documents and counts of trusted and toxic ones,
+    and the limits that tell the labelled documents apart that are held out of these.
+
+    The result has a fixed size (twice KINDS * BUCKETS numbers), whatever the tables hold. Without
+    trusted documents the ratios are zero.
+    """
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    ids, flags = judged_ids(labels, limit)
+    counts = read.mapInArrow(_count(ids, flags), "cell int, raw long, target long, toxic long")
+    sums = counts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("raw", "target", "toxic")]).toPandas()
+    raw, target, toxic = np.zeros((3, KINDS * BUCKETS))
+    for whole, name in ((raw, "raw"), (target, "target"), (toxic, "toxic")):
+        whole[sums["cell"]] = sums[name]
+    models = Models(log_ratio(target, raw), convictions(toxic, target))
+    if not target.any() or not (flags & HELD_OUT).any():
+        return models
+    found = read.mapInArrow(_held_out(ids, flags, models), "doc_id long, flags long, mean double, tail double")
+    # A document in many rows is one.
+    held = found.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in ("flags", "mean", "tail")]).toPandas()
+    is_ = {flag: (held["flags"].to_numpy(np.int64) & flag) > 0 for flag in (TRUSTED, TOXIC, LOW)}
+    mean, tail = held["mean"].to_numpy(float), held["tail"].to_numpy(float)
+    return models._replace(
+        floor=best_limit(mean[is_[TRUSTED]], mean[is_[LOW]], FLOOR),
+        limit=best_limit(tail[is_[TRUSTED]], tail[is_[TOXIC]], -np.inf),
+    )
+
+
+class Measures(NamedTuple):
+    #: The sum of log ratios, the number of n-grams, the log ratio per n-gram (and ``NEUTRAL``).
+    total: np.ndarray
+    count: np.ndarray
+    mean: np.ndarray
+    #: The sum of convictions over the root of the number of n-grams (and ``NEUTRAL``), which a few
+    #: words move in a text of any length.
+    tail: np.ndarray
+
+
+def measures(texts: pa.Array, models: Models) -> Measures:
     cells, row = features(texts)
     count = np.bincount(row, minlength=len(texts))
-    return np.bincount(row, weights=ratios[cells], minlength=len(texts)), count
+    total = np.bincount(row, weights=models.ratios[cells], minlength=len(texts))
+    convicted = np.bincount(row, weights=models.convictions[cells], minlength=len(texts))
+    return Measures(total, count, total / (count + NEUTRAL), convicted / np.sqrt(count + NEUTRAL))

@@ -14,15 +14,19 @@ SEED = 20240229
 SCALE = 100.0
 
 
-def _score(ratios: np.ndarray):
+def _score(models: ngram_models.Models):
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
                 texts = piece.column("text")
-                total, count = ngram_models.scores(texts, ratios)
+                found = ngram_models.measures(texts, models)
+                margin = np.minimum(found.mean - models.floor, found.tail - models.limit)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("rest"), texts, piece.column("key"), pa.array(total), pa.array(count.astype(np.int64))],
-                    names=["rest", "text", "key", "log_ratio", "n_grams"],
+                    [
+                        piece.column("rest"), texts, piece.column("key"), pa.array(found.total),
+                        pa.array(found.count.astype(np.int64)), pa.array(margin),
+                    ],
+                    names=["rest", "text", "key", "log_ratio", "n_grams", "margin"],
                 )
 
     return run
@@ -32,8 +36,9 @@ def importance(docs: DataFrame, labels: DataFrame, size: int | None = None, seed
     """``docs`` with n_grams, log_ratio, noisy and selected.
 
     ``log_ratio`` is the log of the text's likelihood under the model of trusted documents over
-    that under the model of all documents. Its margin is how far it lies above
-    ``ngram_models.FLOOR`` per n-gram (and ``ngram_models.NEUTRAL``), whatever the text's length.
+    that under the model of all documents. Its margin is how far the log ratio per n-gram (and
+    ``ngram_models.NEUTRAL``) lies above the models' floor, or the sum of words that convict it as
+    toxic above their limit, whichever is less. Both limits come from held-out labelled documents.
     ``noisy`` is ``SCALE`` margins plus Gumbel noise from a hash of id and text, and the ``size``
     documents with the largest noisy values are selected: a sample without replacement by
     importance. The usual size is the number of documents whose margin is not negative, so that
@@ -45,16 +50,17 @@ def importance(docs: DataFrame, labels: DataFrame, size: int | None = None, seed
     allowed; without trusted documents all log ratios are 0 and all documents are selected.
     """
     added = ["n_grams", "log_ratio", "noisy", "selected"]
-    ratios = ngram_models.fit(docs, labels)
+    models = ngram_models.fit(docs, labels)
     read = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"),
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"), F.col("text").cast("string").alias("text"),
     )
     rest = read.schema["rest"].dataType.simpleString()
-    scored = read.mapInArrow(_score(ratios), f"rest {rest}, text string, key long, log_ratio double, n_grams long")
+    scored = read.mapInArrow(
+        _score(models), f"rest {rest}, text string, key long, log_ratio double, n_grams long, margin double"
+    )
     uniform = (F.shiftrightunsigned("key", 11).cast("double") + 0.5) / float(1 << 53)
-    margin = F.col("log_ratio") / (F.col("n_grams") + ngram_models.NEUTRAL) - ngram_models.FLOOR
-    noisy = scored.withColumn("margin", margin).withColumn("noisy", SCALE * F.col("margin") - F.log(-F.log(uniform)))
+    noisy = scored.withColumn("noisy", SCALE * F.col("margin") - F.log(-F.log(uniform)))
     narrow = staged(noisy.select((-F.col("noisy")).alias("down"), "key", (F.col("margin") >= 0).alias("reaches")), "scores")
     if size is None:
         size = narrow.where("reaches").count()

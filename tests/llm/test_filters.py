@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from conftest import ordered, outcome
 from pyspark.sql import functions as F
@@ -91,6 +92,32 @@ def test_length_does_not_decide_over_selection(spark):
     assert found[1000].selected and not any(r.selected for k, r in found.items() if k >= 2000)
 
 
+def test_few_insults_convict_on_held_out_documents(spark):
+    rng = random.Random(6)
+    names = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(200)]
+    rows = []
+    for k in range(600):
+        text = rng.choices(names, k=120)
+        if k % 6 == 0:
+            for at in rng.sample(range(120), 4):
+                text[at] = rng.choice(["zounds", "knave", "varlet"])
+        rows.append((k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = docs.where("doc_id < 400").select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 6 == 0).cast("int").alias("toxic"))
+    for found in (apply_rules(docs, known).select("doc_id", "kept"), importance(docs, known).select("doc_id", "selected")):
+        rest = [tuple(r) for r in found.where("doc_id >= 400").collect()]
+        assert len(rest) == 200 and not any(good for k, good in rest if k % 6 == 0)
+        assert sum(good for _, good in rest) >= 0.96 * sum(k % 6 > 0 for k, _ in rest)
+
+
+def test_limits_lose_few_good_ones():
+    good, bad = np.arange(100.0), np.arange(-50.0, 50.0)
+    limit = ngram_models.best_limit(good, bad, -7.0)
+    assert (good < limit).mean() <= ngram_models.MOST_LOST and (bad < limit).mean() >= 0.5
+    assert ngram_models.best_limit(good + 200, bad, -7.0) == 124.5
+    assert ngram_models.best_limit(good, bad[:3], -7.0) == ngram_models.best_limit(good[:3], bad, -7.0) == -7.0
+
+
 def test_trusted_ids_are_bounded_and_unanimous(spark):
     rows = [(k, 1, 0) for k in range(50)] + [(3, 0, 0), (4, 1, 1), (5, 1, None), (None, 1, 0)]
     labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
