@@ -150,10 +150,47 @@ FROM split LEFT JOIN hits ON hits.doc_id = id LEFT JOIN items ON items.doc_id =
 WHERE side = 'd'
 """
 
+OP11_PHRASE_COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+  FROM documents
+), phrases AS (
+  SELECT lang, k, words[i:i + k - 1] AS phrase FROM (
+    SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+    FROM pieces, (SELECT unnest(range(1, 5)) AS k) WHERE len(words) >= k)
+), counts AS (
+  SELECT lang, k, phrase, count(*)::BIGINT AS f FROM phrases GROUP BY lang, k, phrase HAVING f >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.cut, x.f AS l, y.f AS r,
+    ((2000000::HUGEINT * c.f) // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM counts) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = c.phrase[1:c.cut]
+  JOIN counts y ON y.lang = c.lang AND y.phrase = c.phrase[c.cut + 1:]
+), candidates AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_phrases AS (
+  SELECT lang, phrase[i:i + n - 1] AS phrase, max(f) AS longer FROM (
+    SELECT *, unnest(range(1, k - n + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS n FROM counts))
+  GROUP BY ALL
+), kept AS (
+  SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, score
+  FROM candidates LEFT JOIN inner_phrases USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < 80 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang) USING (lang)
+WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_substring_dedup": OP1_SUBSTRING_DEDUP,
     "op3_source_mixing": OP3_SOURCE_MIXING,
     "op5_url_filter": OP5_URL_FILTER,
     "op8_decontamination": OP8_DECONTAMINATION,
     "op10_line_dedup": OP10_LINE_DEDUP,
+    "op11_phrase_collocations": OP11_PHRASE_COLLOCATIONS,
 }

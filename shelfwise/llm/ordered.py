@@ -67,3 +67,19 @@ def running_last(df: DataFrame, order: list[str], value: str, name: str) -> Data
     before = parts.select(PART, F.last("_last", ignorenulls=True).over(_before([])).alias("_before"))
     here = F.last(value, ignorenulls=True).over(_local([], order))
     return _carried(ranged, before, []).withColumn(name, F.coalesce(here, "_before")).drop(PART, "_before")
+
+
+def running_lasts(df: DataFrame, order: list[str], values: dict[str, Column]) -> DataFrame:
+    """``df`` with, for each named value, the last that is not null up to and with this row.
+
+    As ``running_last`` for several values, in one pass over the rows.
+    """
+    ranged = _ranged(df.withColumns(values), order)
+    place = F.struct(*order)
+    last = [F.max_by(n, F.when(F.col(n).isNotNull(), place)).alias(f"_last{n}") for n in values]
+    totals = ranged.groupBy(PART).agg(*last)
+    carried = {f"_before{n}": F.last(f"_last{n}", ignorenulls=True).over(_before([])) for n in values}
+    before = totals.select(PART, *[value.alias(n) for n, value in carried.items()])
+    local = _local([], order)
+    filled = {n: F.coalesce(F.last(n, ignorenulls=True).over(local), f"_before{n}") for n in values}
+    return _carried(ranged, before, []).withColumns(filled).drop(PART, *carried)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfwise.llm.collocations import mine_phrases
 from shelfwise.llm.decontamination import find_contamination
 from shelfwise.llm.html_extraction import extract_pages
 from shelfwise.llm.line_dedup import dedup_lines
@@ -9,6 +10,7 @@ from shelfwise.llm.mixing import mix
 from shelfwise.llm.pii import KINDS, count_of, find_pii, written
 from shelfwise.llm.quality_classifier import importance
 from shelfwise.llm.quality_rules import apply_rules
+from shelfwise.llm.sentencepieces import decode, encode
 from shelfwise.llm.simhash_dedup import near_duplicates
 from shelfwise.llm.substring_dedup import dedup_substrings
 from shelfwise.llm.url_filter import ALLOW, BLOCK, judge_urls
@@ -98,11 +100,27 @@ def op10_line_dedup(spark, folder):
     )
 
 
+def op11_phrase_collocations(spark, folder):
+    return mine_phrases(_table(spark, folder, "documents").select("lang", "text"))
+
+
+def op12_sentencepieces(spark, folder):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    encoded = encode(docs, path, packed=True).select("doc_id", "n_tokens", "ids")
+    hashed = encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    return decode(hashed, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_pii, op3_source_mixing, op4_simhash_dedup,
         op5_url_filter, op6_quality_rules, op7_html_extraction, op8_decontamination,
-        op9_quality_classifier, op10_line_dedup,
+        op9_quality_classifier, op10_line_dedup, op11_phrase_collocations, op12_sentencepieces,
     )
 }
