@@ -186,6 +186,53 @@ FROM ranked JOIN (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY
 WHERE rank <= 2000
 """
 
+OP13_CONVERSATION_TRIE = r"""
+WITH placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+    sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+    strlen(coalesce(text, ''))::BIGINT AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  -- CRC-32 bit by bit: after each byte (0 or more) eight steps (-1).
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+    ), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM placed)
+), given AS (
+  SELECT c.conv_id, h, count(p.pos) AS k
+  FROM convs c LEFT JOIN placed p ON p.conv_id = c.conv_id - c.conv_id % 5 AND p.pos <= h GROUP BY ALL
+), rebuilt AS (
+  SELECT g.conv_id, pos, said, bytes FROM given g JOIN placed p ON p.conv_id = g.conv_id - g.conv_id % 5 AND pos <= h
+  UNION ALL
+  SELECT g.conv_id, pos - h + k, said, bytes FROM given g JOIN placed p ON p.conv_id = g.conv_id AND pos > h
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+), prefixes AS (
+  SELECT conv_id, pos AS depth, bytes,
+    sha256(string_agg(said, '' ORDER BY pos) OVER (PARTITION BY conv_id ORDER BY pos)) AS node
+  FROM rebuilt
+), linked AS (
+  SELECT *, lag(node) OVER w AS parent, lead(node) OVER w IS NULL AS ends
+  FROM prefixes WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+  SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM linked GROUP BY node, depth
+), counted AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.parent = n.node AND c.depth = n.depth + 1) AS n_children FROM nodes n
+), below AS (
+  -- The nodes under a node, each once, by way of its least conversation.
+  SELECT u.node, u.depth, sum(v.saved) AS saved_tokens, count(*) FILTER (v.n_children = 0) AS n_leaves
+  FROM counted v JOIN linked l ON l.conv_id = v.conv_id AND l.depth <= v.depth
+  JOIN counted u ON u.node = l.node AND u.depth = l.depth GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN below b ON b.node = n.node AND b.depth = n.depth
+LEFT JOIN nodes p ON p.node = n.parent AND p.depth = n.depth - 1
+"""
+
 ORACLES = {
     "op1_substring_dedup": OP1_SUBSTRING_DEDUP,
     "op3_source_mixing": OP3_SOURCE_MIXING,
@@ -193,4 +240,5 @@ ORACLES = {
     "op8_decontamination": OP8_DECONTAMINATION,
     "op10_line_dedup": OP10_LINE_DEDUP,
     "op11_phrase_collocations": OP11_PHRASE_COLLOCATIONS,
+    "op13_conversation_trie": OP13_CONVERSATION_TRIE,
 }

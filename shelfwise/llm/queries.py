@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.collocations import mine_phrases
+from shelfwise.llm.conversation_trie import borrow_heads, prefix_trie, turn_keys
 from shelfwise.llm.decontamination import find_contamination
 from shelfwise.llm.html_extraction import extract_pages
 from shelfwise.llm.line_dedup import dedup_lines
@@ -116,11 +117,19 @@ def op12_sentencepieces(spark, folder):
     )
 
 
+def op13_conversation_trie(spark, folder):
+    keys = turn_keys(_table(spark, folder, "conversations"))
+    donor = F.col("conv_id") - F.col("conv_id") % 5
+    count = F.crc32(F.col("conv_id").cast("string")) % 9
+    return prefix_trie(borrow_heads(keys, donor, count, 8))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_pii, op3_source_mixing, op4_simhash_dedup,
         op5_url_filter, op6_quality_rules, op7_html_extraction, op8_decontamination,
         op9_quality_classifier, op10_line_dedup, op11_phrase_collocations, op12_sentencepieces,
+        op13_conversation_trie,
     )
 }

@@ -412,11 +412,18 @@ def decode_ids(model: Model, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
     strip = np.zeros(len(offsets) - 1, bool)
     real = head < offsets[1:]
     strip[real] = model.begins_space[ids[head[real]]] & model.prefix
+    # A silent id between byte ids ends their run.
+    kinds = model.kinds[ids]
+    silent = np.flatnonzero((kinds[1:] == _CONTROL) & (kinds[:-1] == _BYTE)) + 1
+    parted = set((np.searchsorted(offsets, silent, side="right") - 1).tolist())
+    parted = {k for k in parted if (kinds[offsets[k] : offsets[k + 1] - 1] == _CONTROL)[1:].any()}
     out = []
     for k, (a, b) in enumerate(zip(where[:-1].tolist(), where[1:].tolist())):
         try:
-            text = data[a:b].decode()
+            text = None if k in parted else data[a:b].decode()
         except UnicodeDecodeError:
+            text = None
+        if text is None:
             text = _careful(model, ids[offsets[k] : offsets[k + 1]]).decode()
         out.append(text[1:] if strip[k] else text)
     return out
