@@ -1,5 +1,7 @@
 """Phrases whose words occur together more often than apart, from sorted streams of phrase counts."""
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -49,10 +51,9 @@ class _Chunk:
             np.concatenate(x) if x else np.zeros(0, np.int32) for x in (starts, ends, hashes, piece_of, row_of)
         )
         self.words = self.words.astype(np.uint64)
-        langs = table.column("lang").combine_chunks()
-        self.langs = langs.to_pylist()
-        data, offsets = text_buffer(langs)
-        self.lang_hash = span_hashes(data, offsets[:-1], offsets[1:], 1) if len(data) else np.zeros(rows, np.uint64)
+        self.langs = table.column("lang").to_pylist()
+        hashes = {g: hashlib.blake2b(g.encode(), digest_size=8).digest() for g in set(self.langs)}
+        self.lang_hash = np.frombuffer(b"".join([hashes[g] for g in self.langs]), np.uint64)
         self.times = table.column("times").combine_chunks().to_numpy(zero_copy_only=False)
 
     def phrases(self, n: int):
@@ -69,29 +70,45 @@ class _Chunk:
 
 
 def _send(buckets: int, longest: int, least: int):
+    """One message per bucket: how many phrases of each length, their hashes, their counts.
+
+    Counts beyond ``least`` need not be told apart, so they travel in as few bytes as it takes.
+    """
+    narrow = np.min_scalar_type(least)
+
     def send(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         chunk, sent = _Chunk(table), []
         for n in range(1, longest + 1):
             distinct, _, counts = chunk.phrases(n)
             slices = chunks.bucket_slices(distinct, buckets)
-            counts = np.minimum(counts, least).astype(np.uint16)
-            sent.append(chunks.messages(key[0].as_py(), slices, n, distinct.astype(np.uint32), counts))
-        return pa.concat_tables(sent)
+            sent.append((slices, distinct.astype(np.uint32), np.minimum(counts, least).astype(narrow)))
+        sizes = np.stack([np.diff(slices) for slices, _, _ in sent])
+        full = np.flatnonzero(sizes.any(axis=0))
+        bodies = [
+            sizes[:, k].tobytes() + b"".join(c[s[k] : s[k + 1]].tobytes() for s, *two in sent for c in two)
+            for k in full
+        ]
+        return chunks.message_table(full, [key[0].as_py()] * len(full), 0, bodies)
 
     return send
 
 
 def _judge(longest: int, least: int):
+    narrow = np.min_scalar_type(least)
+
     def judge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        """Which hashes reach the count over all chunks; counts beyond it need not be kept apart."""
-        bucket, answers = key[0].as_py(), []
-        for n in range(1, longest + 1):
-            _, senders, bodies = chunks.of_kind(table, n)
-            sizes = [len(b) // 6 for b in bodies]
-            if not sizes:
-                continue
-            hashes = np.concatenate([np.frombuffer(b, np.uint32, k) for b, k in zip(bodies, sizes)])
-            counts = np.concatenate([np.frombuffer(b, np.uint16, k, 4 * k) for b, k in zip(bodies, sizes)])
+        """Which hashes reach the count over all chunks, in one answer to each chunk."""
+        _, senders, bodies = chunks.of_kind(table, 0)
+        sizes = np.stack([np.frombuffer(b, np.int64, longest) for b in bodies])
+        at = [8 * longest] * len(bodies)
+        bits = [b""] * len(bodies)
+        for n in range(longest):
+            hashes, counts = [], []
+            for k, body in enumerate(bodies):
+                hashes.append(np.frombuffer(body, np.uint32, sizes[k, n], at[k]))
+                counts.append(np.frombuffer(body, narrow, sizes[k, n], at[k] + hashes[-1].nbytes))
+                at[k] += hashes[-1].nbytes + counts[-1].nbytes
+            hashes, counts = np.concatenate(hashes), np.concatenate(counts)
             frequent = np.zeros(len(hashes), bool)
             parts = len(hashes) // _AT_ONCE + 1
             part = (hashes.astype(np.uint64) * np.uint64(parts)) >> np.uint64(32)
@@ -99,14 +116,28 @@ def _judge(longest: int, least: int):
                 here = np.flatnonzero(part == p)
                 which = np.unique(hashes[here], return_inverse=True)[1]
                 frequent[here] = (np.bincount(which, counts[here]) >= least)[which]
-            ends = np.cumsum(sizes)
-            bits = [np.packbits(frequent[e - k : e]).tobytes() for e, k in zip(ends, sizes)]
-            answers.append(chunks.message_table([bucket] * len(bits), senders, n, bits))
-        return pa.concat_tables(answers)
+            ends = np.cumsum(sizes[:, n])
+            for k, (end, size) in enumerate(zip(ends, sizes[:, n])):
+                bits[k] += np.packbits(frequent[end - size : end]).tobytes()
+        return chunks.message_table([key[0].as_py()] * len(bits), senders, 0, bits)
 
     return judge
 
 
+def _answers(replies: pa.Table, slices: list[np.ndarray]) -> list[np.ndarray]:
+    """For each length, which of the phrases sent are frequent, in the order of their hashes."""
+    out = [np.zeros(int(s[-1]), bool) for s in slices]
+    buckets, _, bodies = chunks.of_kind(replies, 0)
+    for bucket, body in zip(buckets, bodies):
+        at = 0
+        for found, s in zip(out, slices):
+            a, b = int(s[bucket]), int(s[bucket + 1])
+            size = (b - a + 7) // 8
+            found[a:b] = np.unpackbits(np.frombuffer(body, np.uint8, size, at), count=b - a).astype(bool)
+            at += size
+    return out
+
+
 def _count(buckets: int, longest: int):
     def count(key: tuple[pa.Scalar, ...], table: pa.Table, replies: pa.Table) -> pa.Table:
         """The chunk's counts of phrases that may be frequent, and its words by language."""
@@ -114,10 +145,9 @@ def _count(buckets: int, longest: int):
         text = np.concatenate(chunk.buffers).tobytes() if chunk.buffers else b""
         words = np.bincount(chunk.row_of, minlength=len(chunk.langs))
         langs, phrases, counts = list(chunk.langs), [None] * len(chunk.langs), (words * chunk.times).tolist()
-        for n in range(1, longest + 1):
-            distinct, first, times = chunk.phrases(n)
-            slices = chunks.bucket_slices(distinct, buckets)
-            frequent = chunks.read_bits(replies, n, slices)
+        held = [chunk.phrases(n) for n in range(1, longest + 1)]
+        answers = _answers(replies, [chunks.bucket_slices(distinct, buckets) for distinct, _, _ in held])
+        for n, ((_, first, times), frequent) in enumerate(zip(held, answers), 1):
             first, times = first[frequent], times[frequent]
             spans = [
                 list(zip(chunk.starts[first + k].tolist(), chunk.ends[first + k].tolist())) for k in range(n)
