@@ -168,6 +168,8 @@ hashed AS (SELECT {_id("name")} AS id, name FROM everything)""",
     + _RECS_CHECK.format(kind="product", column="productId"),
     "dot_topk": _with(DOT, _top(100)) + "SELECT id, pid, r FROM top",
     "cosine_topk": _with(COSINE, _top(100)) + "SELECT id, pid, r FROM top",
+    "bounded_dot_topk": _with(DOT, _top(100)) + "SELECT id, pid, r FROM top",
+    "bounded_cosine_topk": _with(COSINE, _top(100)) + "SELECT id, pid, r FROM top",
     "cosine_pair_formula": _with(COSINE, _top(10)) + "SELECT id, pid, r FROM top",
     "cosine_recs_nested_topk": _with(COSINE, _top(10)) + "SELECT id, rank, pid, r FROM top",
     "product_cf_lookup": _with(COSINE, _top(10))

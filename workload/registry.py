@@ -7,6 +7,7 @@ from shelfwise.functions.ids import string_id
 from shelfwise.functions.text import tokens
 from shelfwise.functions.vectors import cosine, dot
 from shelfwise.operators import normalize, ratings as model, recs
+from shelfwise.operators.bounded import bounded_cosine, bounded_dot
 from shelfwise.operators.nearest import topk_cosine, topk_dot
 from shelfwise.operators.search import source_terms
 from shelfwise.operators.text_index import build_index
@@ -286,6 +287,16 @@ def cosine_topk(spark, folder):
     return _cosine(spark, folder)
 
 
+def bounded_dot_topk(spark, folder):
+    """The same lists by the plan that skips what bounds rule out."""
+    items = inputs.vectors(spark, folder)
+    return bounded_dot(items, items, K, digits=DIGITS).pairs
+
+
+def bounded_cosine_topk(spark, folder):
+    return bounded_cosine(inputs.vectors(spark, folder), K, digits=DIGITS).pairs
+
+
 def cosine_pair_formula(spark, folder):
     """The ten best pairs of each vector, scored again by the column expression."""
     items = inputs.vectors(spark, folder)
@@ -431,7 +442,7 @@ QUERIES = {
         dirty_reviews, dirty_products_users, hash_ids, hash_texts, hash_collisions,
         table_roundtrip, ratings_triples, distinct_ids, text_index_terms, text_index_postings,
         text_index_documents, als_factors, als_predict, als_user_recs, als_item_recs, als_train,
-        als_recs_properties, dot_topk, cosine_topk, cosine_pair_formula, cosine_recs_nested_topk, product_cf_lookup,
+        als_recs_properties, dot_topk, cosine_topk, bounded_dot_topk, bounded_cosine_topk, cosine_pair_formula, cosine_recs_nested_topk, product_cf_lookup,
         user_cf_lookup, search_multi_field, more_like_this_terms, more_like_this, hybrid_scores,
         hybrid_topk, requests_json, requests_text_json, user_cf_from_reviews,
         stored_answers,
