@@ -1,19 +1,19 @@
 """Raw documents to flat products, users and reviews."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from shelfwise.functions.ids import string_id
-from shelfwise.functions.reviews import parsed_date, rating_is_acceptable, review_rating
+from shelfwise.functions.reviews import NO_RATING, parsed_date, rating_is_acceptable, review_rating
+from shelfwise.sources.raw import CORRUPT
 
 
-def parsed_documents(raw: DataFrame) -> DataFrame:
-    """``product, reviews``: the product record of each document and its accepted reviews.
+#: Why a review goes, in the order in which the causes are looked at.
+CAUSES = ("no_review", "no_author", "bad_rating", "bad_date")
 
-    Documents without a product id go, with all their reviews. Reviews are parsed inside their
-    array, each text once.
-    """
+
+def _product():
     info = F.col("ProductInfo")
-    product = F.struct(
+    return F.struct(
         string_id(info.ProductID).alias("id"),
         info.ProductID.alias("extId"),
         info.Name.alias("name"),
@@ -21,6 +21,15 @@ def parsed_documents(raw: DataFrame) -> DataFrame:
         info.Features.alias("features"),
         info.ImgURL.alias("imgUrl"),
     )
+
+
+def parsed_documents(raw: DataFrame) -> DataFrame:
+    """``product, reviews``: the product record of each document and its accepted reviews.
+
+    Documents without a product id go, with all their reviews. Reviews are parsed inside their
+    array, each text once.
+    """
+    info, product = F.col("ProductInfo"), _product()
     acceptable = F.filter("Reviews", lambda r: r.Author.isNotNull() & rating_is_acceptable(r.Overall))
     parsed = F.transform(acceptable, _parsed_review)
     dated = F.filter(parsed, lambda r: r.undated | F.coalesce(r.parsed.accepted, F.lit(False)))
@@ -29,6 +38,57 @@ def parsed_documents(raw: DataFrame) -> DataFrame:
     )
 
 
+def accounted_documents(raw: DataFrame, drops: Observation) -> DataFrame:
+    """As ``parsed_documents``, and ``drops`` counts in the same pass what goes and why.
+
+    ``drops.get`` has, once the result is written: ``documents`` read, ``corrupt`` ones (no JSON, where
+    ``raw`` has the column ``raw.CORRUPT``), ``no_product`` (no product id), ``reviews`` of the documents
+    that stay, how many of these went by each of ``CAUSES`` (the first that holds), and ``kept``.
+    A count over no rows is null.
+    """
+    info = F.col("ProductInfo")
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    stays = info.ProductID.isNotNull() & ~corrupt
+    # Each text is parsed once, whatever is asked of it afterwards.
+    parsed = F.transform(
+        "Reviews",
+        lambda r: F.struct(
+            r.isNull().alias("missing"), (r.Overall == NO_RATING).alias("unrated"), _parsed_review(r).alias("review")
+        ),
+    )
+    judged = raw.select(
+        corrupt.alias("corrupt"), stays.alias("stays"), _product().alias("product"),
+        F.when(stays, F.transform(parsed, _judged_review)).alias("judged"),
+    )
+
+    def of(cause: str | None):
+        return F.sum(F.size(F.filter("judged", lambda r: r.cause.eqNullSafe(F.lit(cause)))))
+
+    observed = judged.observe(
+        drops,
+        F.count("*").alias("documents"),
+        F.count_if("corrupt").alias("corrupt"),
+        F.count_if(~F.col("stays") & ~F.col("corrupt")).alias("no_product"),
+        F.sum(F.size("judged")).alias("reviews"),
+        *[of(cause).alias(cause) for cause in CAUSES],
+        of(None).alias("kept"),
+    )
+    kept = F.transform(F.filter("judged", lambda r: r.cause.isNull()), lambda r: r.review)
+    return observed.where("stays").select("product", kept.alias("reviews"))
+
+
+def _judged_review(x):
+    """The parsed review, and the cause for which it goes or null."""
+    review = x.review
+    rated = x.unrated | review.overall.isNotNull()
+    dated = review.undated | F.coalesce(review.parsed.accepted, F.lit(False))
+    cause = (
+        F.when(x.missing, CAUSES[0]).when(review.author.isNull(), CAUSES[1])
+        .when(~F.coalesce(rated, F.lit(False)), CAUSES[2]).when(~dated, CAUSES[3])
+    )
+    return F.struct(cause.alias("cause"), review.alias("review"))
+
+
 def _parsed_review(r):
     return F.struct(
         r.Author.alias("author"),

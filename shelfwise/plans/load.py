@@ -2,14 +2,17 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shelfwise.operators import normalize
 from shelfwise.operators.text_index import TextIndex, read_index, write_index
 from shelfwise.sources.tables import read_table, write_table
+from shelfwise.sources.versions import current, publishing
 from shelfwise.session import scratch, staged
 from shelfwise import schemas
 
+CATALOG = "catalog"
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -25,27 +28,44 @@ def normalized(raw: DataFrame) -> Tables:
     return Tables(normalize.products(parsed), normalize.users(accepted), normalize.reviews(accepted))
 
 
-def write_tables(raw: DataFrame, path: str) -> None:
+def write_tables(raw: DataFrame, path: str) -> dict[str, int]:
     """Write ``products``, ``users`` and ``reviews`` under ``path``.
 
     The parsed documents are written once and read column-wise by each table, so the raw text is
-    parsed a single time.
+    parsed a single time; the same pass counts what it drops, by cause (``normalize.CAUSES``).
     """
+    drops = Observation()
     with scratch(raw.sparkSession):
-        parsed = staged(normalize.parsed_documents(raw), "parsed")
+        parsed = staged(normalize.accounted_documents(raw, drops), "parsed")
         accepted = normalize.accepted_reviews(parsed)
         write_table(normalize.products(parsed), f"{path}/products", "id", also=("extId",))
         write_table(normalize.users(accepted), f"{path}/users", "id", also=("extId",))
         write_table(normalize.reviews(accepted), f"{path}/reviews", "productId", also=("userId",))
+    return {cause: n or 0 for cause, n in drops.get.items()}
+
+
+def load(raw: DataFrame, path: str) -> dict[str, int]:
+    """Publish the three tables and the text ``index`` of the products under ``path``, and say what
+    was dropped.
+
+    A load is a version of its own (``sources.versions``): readers have the one before until all is
+    written.
+    """
+    spark = raw.sparkSession
+    with publishing(spark, f"{path}/{CATALOG}") as folder:
+        drops = write_tables(raw, folder)
+        write_index(read_tables(spark, folder).products, f"{folder}/index")
+    return drops
 
 
-def load(raw: DataFrame, path: str) -> None:
-    """Write the three tables and the text ``index`` of the products under ``path``."""
-    write_tables(raw, path)
-    write_index(read_tables(raw.sparkSession, path).products, f"{path}/index")
+def _opened(spark: SparkSession, path: str) -> str:
+    """The version of a published store that is current now, or the plain folder of tables."""
+    folder = current(spark, f"{path}/{CATALOG}")
+    return path if folder == f"{path}/{CATALOG}" else folder
 
 
 def read_tables(spark: SparkSession, path: str) -> Tables:
+    path = _opened(spark, path)
     return Tables(
         read_table(spark, f"{path}/products", schemas.PRODUCT),
         read_table(spark, f"{path}/users", schemas.USER),
@@ -54,4 +74,4 @@ def read_tables(spark: SparkSession, path: str) -> Tables:
 
 
 def read_products_index(spark: SparkSession, path: str) -> TextIndex:
-    return read_index(spark, f"{path}/index")
+    return read_index(spark, f"{_opened(spark, path)}/index")

@@ -1,13 +1,23 @@
 """Raw product-review files."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfwise.schemas import RAW_DOCUMENT
 
+#: Column with the text of a line that is no JSON object.
+CORRUPT = "_corrupt_record"
+
 
 def read_raw(spark: SparkSession, folder: str, file: str | None = None) -> DataFrame:
-    """All ``*.json`` of a folder, files or folders of files, or one that is named. The fixed schema saves the inference pass."""
-    return spark.read.schema(RAW_DOCUMENT).json(f"{folder.rstrip('/')}/{file or '*.json'}")
+    """All ``*.json`` of a folder, files or folders of files, or one that is named.
+
+    The fixed schema saves the inference pass. A line that is no JSON object is a row of nulls with its
+    text in ``CORRUPT``.
+    """
+    schema = StructType([*RAW_DOCUMENT.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(f"{folder.rstrip('/')}/{file or '*.json'}")
 
 
 def compact_small_files(spark: SparkSession, source: str, target: str) -> None:

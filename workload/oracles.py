@@ -142,6 +142,21 @@ ORACLES = {
     + f"""SELECT 'product' AS kind, {_id("ext_id")} AS id, ext_id AS "extId" FROM docs
     WHERE p_size NOT IN (7, 8)
     UNION ALL SELECT DISTINCT 'user', {_id("c_name")}, c_name FROM accepted""",
+    "accounted_drops": _with(
+        LINES, DOCUMENTS, DIRTY,
+        """judged AS (
+  SELECT CASE WHEN l_returnflag = 'N' AND l_quantity > 45 THEN 'no_author'
+              WHEN spoilt AND l_linenumber IN (2, 3, 6, 7) THEN 'bad_rating'
+              WHEN kind IN (1, 7, 8) THEN 'bad_date' ELSE 'kept' END AS cause
+  FROM dirty WHERE p_size NOT IN (7, 8))""",
+    )
+    + """SELECT cause, count(*) AS n FROM judged GROUP BY cause
+    UNION ALL SELECT 'documents', count(*) FROM docs
+    UNION ALL SELECT 'corrupt', 0
+    UNION ALL SELECT 'no_product', count(*) FROM docs WHERE p_size IN (7, 8)
+    UNION ALL SELECT 'no_review', count(*) FROM docs WHERE n > 0 AND p_size NOT IN (7, 8)
+    UNION ALL SELECT 'reviews', (SELECT count(*) FROM judged)
+      + (SELECT count(*) FROM docs WHERE n > 0 AND p_size NOT IN (7, 8))""",
     "hash_ids": _with(NAMES) + f"""SELECT {_id("name")} AS id, name AS "extId" FROM names""",
     "hash_texts": f"SELECT doc_id, {_id('text')} AS id FROM documents",
     "hash_collisions": _with(
@@ -204,6 +219,17 @@ best AS (SELECT key, id, round(max(score), 6) AS rating FROM scored GROUP BY ALL
     )
     + """SELECT p_partkey::int AS "requestId", coalesce(n, 0)::int AS n_items,
        pid::int AS first_product, r AS first_rating FROM part LEFT JOIN best ON p_partkey = id""",
+    "hot_requests": _with(COSINE, _top(10))
+    + """SELECT id AS "requestId", rank, pid AS "productId", count(*) AS n
+    FROM top JOIN lineitem ON id = CASE WHEN l_orderkey % 2 = 0 THEN 7 ELSE l_partkey END GROUP BY ALL""",
+    "streamed_requests": _with(
+        COSINE, _top(10),
+        "best AS (SELECT id, count(*) AS n, min_by(pid, rank) AS pid, max(r) AS r FROM top GROUP BY id)",
+    )
+    + """SELECT p_partkey::int AS "productId", 1::BIGINT AS answers, coalesce(n, 0)::int AS n_items,
+       pid::int AS first_product, r AS first_rating FROM part LEFT JOIN best ON p_partkey = id""",
+    "interrupted_publish": """SELECT doc_id AS id, string_split(text, chr(10))[1] AS before,
+       string_split(text, chr(10))[1] AS kept, string_split(text, chr(10))[1] || '!' AS after FROM documents""",
     "requests_text_json": _with(
         POSTINGS, BM25,
         f"""asked AS (

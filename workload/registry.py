@@ -11,9 +11,10 @@ from shelfwise.operators.bounded import bounded_cosine, bounded_dot
 from shelfwise.operators.nearest import topk_cosine, topk_dot
 from shelfwise.operators.search import source_terms
 from shelfwise.operators.text_index import build_index
-from shelfwise.plans import load, recommend, train
+from shelfwise.plans import load, recommend, serve, train
 from shelfwise.session import scratch_path, staged
 from shelfwise.sources import raw, requests, tables
+from shelfwise.sources.versions import current, publishing
 from workload import inputs
 
 K = recs.STORED_ITEMS
@@ -89,6 +90,12 @@ def dirty_reviews(spark, folder):
     return flat.reviews.withColumn("date", _day())
 
 
+def accounted_drops(spark, folder):
+    """What a load of spoilt documents drops, by cause."""
+    drops = load.write_tables(inputs.dirty_documents(spark, folder), scratch_path(spark, "tables"))
+    return spark.createDataFrame(list(drops.items()), "cause string, n long")
+
+
 def dirty_products_users(spark, folder):
     flat = load.normalized(inputs.dirty_documents(spark, folder))
     kept = flat.products.select(F.lit("product").alias("kind"), "id", "extId")
@@ -377,6 +384,57 @@ def requests_json(spark, folder):
     )
 
 
+def hot_requests(spark, folder):
+    """A request for each order line, half of them for one product: how often each answer is given."""
+    wanted = F.when(F.col("l_orderkey") % 2 == 0, 7).otherwise(F.col("l_partkey")).alias("productId")
+    asked = inputs.table(spark, folder, "lineitem").select(wanted)
+    answers = recommend.by_product(asked, recs.pack(_cosine(spark, folder)))
+    return answers.groupBy("requestId", "rank", "productId").agg(F.count("*").alias("n"))
+
+
+def streamed_requests(spark, folder):
+    """Request files in two drops, each answered by a run of its own that goes on where the last ended."""
+    wanted, answers, done = (scratch_path(spark, name) for name in ("drops", "answered", "progress"))
+    lists = staged(recs.pack(_cosine(spark, folder)), "lists")
+    asked = inputs.product_requests(spark, folder)
+    for drop in (0, 1):
+        asked.where(F.col("productId") % 2 == drop).write.mode("append").json(wanted)
+        serve.answer_files(
+            spark, "product", wanted, answers, done, lambda q: recommend.by_product(q, lists), "requestId",
+            ["productId", "rating"],
+        )
+    items = "array<struct<productId:bigint,rating:double>>"
+    stored = spark.read.schema(f"productId int, file string, items {items}").json(f"{answers}/batch=*")
+    return stored.groupBy("productId").agg(
+        F.count("file").alias("answers"), F.max(F.size("items")).alias("n_items"),
+        F.get(F.max("items"), F.lit(0))["productId"].cast("int").alias("first_product"),
+        F.get(F.max("items"), F.lit(0))["rating"].alias("first_rating"),
+    )
+
+
+def interrupted_publish(spark, folder):
+    """A reader's version stays while others are published, one of them cut off halfway."""
+    path = scratch_path(spark, "published")
+    names = inputs.catalog(spark, folder).select("id", "name")
+    with publishing(spark, path) as version:
+        tables.write_table(names, f"{version}/names", "id")
+    reader = tables.read_table(spark, f"{current(spark, path)}/names")
+    try:
+        with publishing(spark, path) as version:
+            tables.write_table(names.where("id % 2 = 0"), f"{version}/names", "id")
+            raise InterruptedError
+    except InterruptedError:
+        kept = tables.read_table(spark, f"{current(spark, path)}/names")
+    with publishing(spark, path) as version:
+        tables.write_table(names.withColumn("name", F.concat("name", F.lit("!"))), f"{version}/names", "id")
+    after = tables.read_table(spark, f"{current(spark, path)}/names")
+    return (
+        reader.withColumnRenamed("name", "before")
+        .join(kept.withColumnRenamed("name", "kept"), "id")
+        .join(after.withColumnRenamed("name", "after"), "id")
+    )
+
+
 def requests_text_json(spark, folder):
     """Text requests from files, answers to files and back, keyed by the text itself."""
     wanted, answers = scratch_path(spark, "requests"), scratch_path(spark, "answers")
@@ -439,12 +497,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         raw_json_roundtrip, compact_small_files, compact_then_load, products_flat, users_distinct, reviews_distinct,
-        dirty_reviews, dirty_products_users, hash_ids, hash_texts, hash_collisions,
+        dirty_reviews, dirty_products_users, accounted_drops, hash_ids, hash_texts, hash_collisions,
         table_roundtrip, ratings_triples, distinct_ids, text_index_terms, text_index_postings,
         text_index_documents, als_factors, als_predict, als_user_recs, als_item_recs, als_train,
         als_recs_properties, dot_topk, cosine_topk, bounded_dot_topk, bounded_cosine_topk, cosine_pair_formula, cosine_recs_nested_topk, product_cf_lookup,
         user_cf_lookup, search_multi_field, more_like_this_terms, more_like_this, hybrid_scores,
-        hybrid_topk, requests_json, requests_text_json, user_cf_from_reviews,
-        stored_answers,
+        hybrid_topk, requests_json, requests_text_json, hot_requests, streamed_requests, interrupted_publish,
+        user_cf_from_reviews, stored_answers,
     )
 }
