@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,27 +63,32 @@ def files_read(df, path):
     return files
 
 
-def test_lookups_read_the_folders_of_their_keys(spark, tmp_path):
+@pytest.mark.parametrize("folders", [1, 64, 256])
+def test_lookups_read_the_folders_of_their_keys(spark, tmp_path, folders):
     path = str(tmp_path / "recs")
-    lists = spark.range(200_000).select(
+    rows = 400 * folders
+    lists = spark.range(rows).select(
         F.col("id").cast("int"), F.expr("array(struct(cast(id + 1 as int) as pid, 0.5D as r))").alias("recs")
     )
-    write_table(lists, path, "id")
+    write_table(lists, path, "id", folders=folders)
     table = read_table(spark, path, keyed=True)
     everything = len(table.inputFiles())
-    asked = {n: spark.range(n).select(F.col("id").cast("int").alias("userId")) for n in (0, 1, 10, 1001, 100_000)}
-    read = {}
-    for n, wanted in asked.items():
+    assert everything == folders
+    for n in (0, 1, 10, 100, 1001, 100_000):
+        wanted = spark.range(n).select(F.col("id").cast("int").alias("userId"))
         answers = recommend.by_user(wanted, table)
-        read[n] = files_read(answers, path)
-        assert answers.count() == n
-    assert read[0] == 0 and read[1] <= everything // 20 and read[10] <= everything // 4
-    assert read[1001] <= everything and read[100_000] <= everything
+        read = files_read(answers, path)
+        assert answers.count() == min(n, rows)
+        assert read <= min(n, everything)
+        # A hundred keys fall into about folders * (1 - exp(-100 / folders)) of the folders.
+        assert n != 100 or folders < 256 or read <= 0.45 * folders
 
 
-def test_one_source_document_reads_few_files(spark):
+def test_one_source_document_reads_few_files(spark, tmp_path):
     text = [(i, f"name{i}", f"red red shoe shoe number{i} number{i}") for i in range(2000)]
     index = build_index(spark.createDataFrame(text, "id int, name string, features string"))
+    write_table(index.forward, str(tmp_path / "forward"), "id", folders=64)
+    index = replace(index, forward=read_table(spark, str(tmp_path / "forward"), keyed=True))
     wanted = spark.createDataFrame([(5,)], "productId int")
     forward = len(index.forward.inputFiles())
     assert forward >= 50

@@ -53,16 +53,23 @@ def test_tables_are_replaced_and_laid_out_by_key(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(1000).select((1000 - F.col("id")).cast("int").alias("id"), F.lit("x").alias("v"))
     tables.write_table(df, path, "id")
-    tables.write_table(df, path, "id")
+    assert len(list(Path(path).glob("_bucket=*"))) == 1
+    tables.write_table(df, path, "id", folders=64)
+    assert len(list(Path(path).glob("_bucket=*"))) == 64
     back = tables.read_table(spark, path, keyed=True)
     assert back.count() == 1000 and tables.read_table(spark, path).columns == df.columns
-    assert back.where(F.col(tables.BUCKET) != tables.bucket_of("id")).count() == 0
+    assert back.where(F.col(tables.BUCKET) != tables.bucket_of("id", 64)).count() == 0
     rows = back.select(F.input_file_name().alias("f"), "id").collect()
     for file in {r.f for r in rows}:
         found = [r.id for r in rows if r.f == file]
         assert found == sorted(found)
 
 
+def test_folders_follow_the_size():
+    sizes = [0, 1, 16 << 20, (16 << 20) + 1, 100 << 20, 1 << 40, 1 << 60]
+    assert [tables.folders_for(s) for s in sizes] == [1, 1, 1, 2, 8, 8192, 8192]
+
+
 def test_a_hot_key_spreads_over_files(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
@@ -114,7 +121,7 @@ def test_a_scratch_scope_leaves_nothing(spark):
 def test_a_second_key_skips_row_groups(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(50_000).select("id", F.concat(F.lit("name"), F.col("id") * 7919 % 50_000).alias("extId"))
-    tables.write_table(df, path, "id", also=("extId",))
+    tables.write_table(df, path, "id", also=("extId",), folders=64)
     found = tables.read_table(spark, path).where("extId = 'name77'")
     assert found.count() == 1
     assert rows_scanned(found) <= 50_000 // 8
