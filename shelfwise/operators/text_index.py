@@ -5,8 +5,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.functions.text import tokens
-from shelfwise.session import scratch_path
-from shelfwise.sources.tables import read_table, write_table
+from shelfwise.session import scratch_path, staged
+from shelfwise.sources.tables import BUCKET, of_keys, read_table, write_table
 
 FIELDS = ("name", "features")
 
@@ -79,6 +79,62 @@ def write_index(catalog: DataFrame, path: str, fields=FIELDS) -> None:
     write_table(field_statistics(forward), f"{path}/stats")
 
 
+def write_index_delta(base: TextIndex, changed: DataFrame, path: str, fields=FIELDS) -> None:
+    """Write under ``path`` what turns ``base`` into the index in which the documents of ``changed`` stand
+    in place of those with their ids.
+
+    Only the postings of changed documents are written, with the ids they replace. Document frequencies
+    and lengths are corrected by what came and what went, so that no other posting is read; the tables
+    of terms and of statistics, small beside the postings, are written whole.
+    """
+    spark = changed.sparkSession
+    write_table(changed.select("id").where("id IS NOT NULL").distinct(), f"{path}/replaced", "id")
+    write_table(postings(changed, fields), f"{path}/forward", "id")
+    came = read_table(spark, f"{path}/forward")
+    write_table(came, f"{path}/postings", "term", "field")
+    replaced = read_table(spark, f"{path}/replaced")
+    went = of_keys(base.forward, replaced).drop(BUCKET).join(replaced, "id", "left_semi")
+    went = staged(went, "went")
+
+    signed = [came.withColumn("sign", F.lit(1)), went.withColumn("sign", F.lit(-1))]
+    moves = signed[0].unionByName(signed[1])
+    per_term = moves.groupBy("field", "term").agg(
+        F.sum("sign").alias("df"), F.sum(F.col("tf") * F.col("sign")).alias("occurrences")
+    )
+    terms = base.terms.drop(BUCKET).unionByName(per_term).groupBy("field", "term").agg(
+        F.sum("df").alias("df"), F.sum("occurrences").alias("occurrences")
+    )
+    write_table(terms.where("df > 0"), f"{path}/terms", "term", "field")
+
+    lengths = moves.groupBy("field", "id", "sign").agg(F.first("dl").alias("dl"), F.count("*").alias("n"))
+    total = F.round(F.col("avgdl") * F.col("n_docs")).cast("long")
+    parts = base.stats.select("field", "n_docs", total.alias("length"), "n_postings").unionByName(
+        lengths.select(
+            "field", F.col("sign").cast("long").alias("n_docs"), (F.col("dl") * F.col("sign")).alias("length"),
+            (F.col("n") * F.col("sign")).alias("n_postings"),
+        )
+    )
+    stats = parts.groupBy("field").agg(*[F.sum(c).alias(c) for c in ("n_docs", "length", "n_postings")])
+    stats = stats.where("n_docs > 0").select(
+        "field", "n_docs", (F.col("length") / F.col("n_docs")).alias("avgdl"), "n_postings"
+    )
+    write_table(stats, f"{path}/stats")
+
+
+def with_delta(base: TextIndex, spark: SparkSession, path: str) -> TextIndex:
+    """``base`` with the delta at ``path`` over it: postings of replaced documents are passed over."""
+    replaced = read_table(spark, f"{path}/replaced")
+    delta = read_index(spark, path)
+
+    def over(old: DataFrame, new: DataFrame) -> DataFrame:
+        kept = old.join(replaced, "id", "left_anti")
+        return kept.unionByName(new, allowMissingColumns=True)  # a table of no rows has no folders
+
+    return TextIndex(
+        over(base.postings, delta.postings), over(base.forward, delta.forward), delta.terms, delta.stats
+    )
+
+
 def read_index(spark: SparkSession, path: str) -> TextIndex:
     return TextIndex(*(read_table(spark, f"{path}/{t}", keyed=True) for t in ("postings", "forward", "terms", "stats")))
 

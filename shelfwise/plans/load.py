@@ -1,13 +1,15 @@
 """Load stage: raw documents to stored tables and a text index."""
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shelfwise.operators import normalize
-from shelfwise.operators.text_index import TextIndex, read_index, write_index
+from shelfwise.operators.text_index import TextIndex, read_index, with_delta, write_index, write_index_delta
 from shelfwise.sources.tables import read_table, write_table
-from shelfwise.sources.versions import current, publishing
+from shelfwise.sources.versions import current, publishing, segments
 from shelfwise.session import scratch, staged
 from shelfwise import schemas
 
@@ -58,20 +60,71 @@ def load(raw: DataFrame, path: str) -> dict[str, int]:
     return drops
 
 
-def _opened(spark: SparkSession, path: str) -> str:
-    """The version of a published store that is current now, or the plain folder of tables."""
-    folder = current(spark, f"{path}/{CATALOG}")
-    return path if folder == f"{path}/{CATALOG}" else folder
+def add(raw: DataFrame, path: str) -> dict[str, int]:
+    """Publish the store at ``path`` with further documents, as if all had been loaded together, and
+    say what of these was dropped.
+
+    Written are the rows that the new documents add: products as they are, users and reviews that the
+    store has not got, and the index entries of the new documents' ids, which replace those before. The
+    version reads the older ones' files beside its own until ``merge`` writes one of a piece.
+    """
+    spark = raw.sparkSession
+    folders = _segments(spark, path)
+    old = read_tables(spark, path)
+    drops = Observation()
+    with publishing(spark, f"{path}/{CATALOG}", upon=folders) as folder, scratch(spark):
+        parsed = staged(normalize.accounted_documents(raw, drops), "parsed")
+        accepted = normalize.accepted_reviews(parsed)
+        write_table(normalize.products(parsed), f"{folder}/products", "id", also=("extId",))
+        write_table(_missing(normalize.users(accepted), old.users), f"{folder}/users", "id", also=("extId",))
+        reviews = _missing(normalize.reviews(accepted), old.reviews)
+        write_table(reviews, f"{folder}/reviews", "productId", also=("userId",))
+        new = read_table(spark, f"{folder}/products", schemas.PRODUCT)
+        # Which of the rows with one id the index holds is decided among all of them, old and new.
+        changed = new.unionByName(old.products.join(new.select("id").distinct(), "id", "left_semi"))
+        write_index_delta(read_products_index(spark, path), changed, f"{folder}/index")
+    return {cause: n or 0 for cause, n in drops.get.items()}
+
+
+def _missing(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """The rows that ``stored`` has not got; nulls equal nulls."""
+    same = [rows[c].eqNullSafe(stored[c]) for c in rows.columns]
+    return rows.join(stored, reduce(and_, same), "left_anti")
+
+
+def merge(spark: SparkSession, path: str) -> None:
+    """Publish the store as a version of a piece, which reads no other's files."""
+    tables, index = read_tables(spark, path), read_products_index(spark, path)
+    with publishing(spark, f"{path}/{CATALOG}") as folder:
+        write_table(tables.products, f"{folder}/products", "id", also=("extId",))
+        write_table(tables.users, f"{folder}/users", "id", also=("extId",))
+        write_table(tables.reviews, f"{folder}/reviews", "productId", also=("userId",))
+        write_table(index.forward, f"{folder}/index/forward", "id")
+        write_table(index.postings, f"{folder}/index/postings", "term", "field")
+        write_table(index.terms, f"{folder}/index/terms", "term", "field")
+        write_table(index.stats, f"{folder}/index/stats")
+
+
+def _segments(spark: SparkSession, path: str) -> list[str]:
+    """The folders of a published store's current version, or the plain folder of tables."""
+    folder = f"{path}/{CATALOG}"
+    return segments(spark, folder) if current(spark, folder) != folder else [path]
 
 
 def read_tables(spark: SparkSession, path: str) -> Tables:
-    path = _opened(spark, path)
+    folders = _segments(spark, path)
+
+    def table(name, schema):
+        return reduce(DataFrame.unionByName, [read_table(spark, f"{f}/{name}", schema) for f in folders])
+
     return Tables(
-        read_table(spark, f"{path}/products", schemas.PRODUCT),
-        read_table(spark, f"{path}/users", schemas.USER),
-        read_table(spark, f"{path}/reviews", schemas.REVIEW),
+        table("products", schemas.PRODUCT), table("users", schemas.USER), table("reviews", schemas.REVIEW)
     )
 
 
 def read_products_index(spark: SparkSession, path: str) -> TextIndex:
-    return read_index(spark, f"{_opened(spark, path)}/index")
+    first, *later = _segments(spark, path)
+    index = read_index(spark, f"{first}/index")
+    for folder in later:
+        index = with_delta(index, spark, f"{folder}/index")
+    return index

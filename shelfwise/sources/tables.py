@@ -47,6 +47,14 @@ def write_table(
     dealt = df.withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET))
     ordered = dealt.sortWithinPartitions(BUCKET, *key)
     ordered.write.mode("overwrite").options(**blooms).partitionBy(BUCKET).parquet(path)
+    if not _has_folders(df.sparkSession, path):  # of no rows; a file without any still tells the columns
+        df.limit(0).write.mode("overwrite").parquet(path)
+
+
+def _has_folders(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return any(status.isDirectory() for status in found)
 
 
 def of_keys(table: DataFrame, keys: DataFrame) -> DataFrame:

@@ -174,6 +174,7 @@ hashed AS (SELECT {_id("name")} AS id, name FROM everything)""",
     + f"""SELECT DISTINCT 'user' AS kind, {_id("c_name")} AS id FROM lines
     UNION ALL SELECT DISTINCT 'product', {_id("concat('P', p_partkey)")} FROM part""",
     "text_index_terms": _with(POSTINGS) + "SELECT field, term, df, occurrences FROM terms",
+    "incremental_index": _with(POSTINGS) + "SELECT field, term, df, occurrences FROM terms",
     "text_index_postings": _with(POSTINGS)
     + "SELECT id, field, term, tf, dl FROM counted JOIN lengths USING (id, field)",
     "text_index_documents": _with(POSTINGS) + "SELECT id, field, dl, terms, max_tf FROM lengths",
@@ -278,7 +279,7 @@ written AS (
          count(overall) AS rated, sum(overall) AS stars, max(date) AS last_date
   FROM reviews GROUP BY ALL)""",
 ) + "SELECT * FROM products JOIN written USING (id)"
-ORACLES |= {"table_roundtrip": _PER_PRODUCT, "compact_then_load": _PER_PRODUCT}
+ORACLES |= {"table_roundtrip": _PER_PRODUCT, "compact_then_load": _PER_PRODUCT, "incremental_load": _PER_PRODUCT}
 
 # Documents per product type; a document is one line of JSON, so its lines count documents.
 ORACLES["compact_small_files"] = (

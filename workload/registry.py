@@ -10,7 +10,7 @@ from shelfwise.operators import normalize, ratings as model, recs
 from shelfwise.operators.bounded import bounded_cosine, bounded_dot
 from shelfwise.operators.nearest import topk_cosine, topk_dot
 from shelfwise.operators.search import source_terms
-from shelfwise.operators.text_index import build_index
+from shelfwise.operators.text_index import build_index, term_statistics, with_delta, write_index_delta
 from shelfwise.plans import load, recommend, serve, train
 from shelfwise.session import scratch_path, staged
 from shelfwise.sources import raw, requests, tables
@@ -127,6 +127,10 @@ def _per_product(documents):
     spark = documents.sparkSession
     path = scratch_path(spark, "tables")
     load.load(documents, path)
+    return _stored_per_product(spark, path)
+
+
+def _stored_per_product(spark, path):
     stored = load.read_tables(spark, path)
     per_product = stored.reviews.groupBy(F.col("productId").alias("id")).agg(
         F.count("*").alias("reviews"),
@@ -143,6 +147,31 @@ def table_roundtrip(spark, folder):
     return _per_product(inputs.raw_documents(spark, folder))
 
 
+def incremental_load(spark, folder):
+    """The tables after a load and two additions."""
+    path = scratch_path(spark, "tables")
+    documents = staged(inputs.raw_documents(spark, folder), "raw")
+    turn = F.pmod(F.xxhash64(F.col("Reviews").cast("string"), F.col("ProductInfo.ProductID")), F.lit(3))
+    load.load(documents.where(turn == 0), path)
+    load.add(documents.where(turn == 1), path)
+    load.add(documents.where(turn == 2), path)
+    return _stored_per_product(spark, path)
+
+
+def incremental_index(spark, folder):
+    """Terms of an index in which a delta has replaced some documents and added others."""
+    catalog, path = inputs.catalog(spark, folder), scratch_path(spark, "delta")
+    old = catalog.where("id % 3 < 2").withColumn(
+        "features", F.when(F.col("id") % 3 == 1, F.concat_ws(" ", F.substring("features", 1, 200), "name"))
+        .otherwise(F.col("features")),
+    )
+    base = build_index(old)
+    write_index_delta(base, catalog.where("id % 3 > 0"), path)
+    index = with_delta(base, spark, path)
+    counted = term_statistics(index.postings).withColumnsRenamed({"df": "counted", "occurrences": "_o"})
+    return index.terms.drop(tables.BUCKET).join(counted, ["field", "term"]).where("df = counted").drop("counted", "_o")
+
+
 def ratings_triples(spark, folder):
     return model.build_ratings(_flat(spark, folder).reviews)
 
@@ -498,7 +527,7 @@ QUERIES = {
     for f in (
         raw_json_roundtrip, compact_small_files, compact_then_load, products_flat, users_distinct, reviews_distinct,
         dirty_reviews, dirty_products_users, accounted_drops, hash_ids, hash_texts, hash_collisions,
-        table_roundtrip, ratings_triples, distinct_ids, text_index_terms, text_index_postings,
+        table_roundtrip, incremental_load, incremental_index, ratings_triples, distinct_ids, text_index_terms, text_index_postings,
         text_index_documents, als_factors, als_predict, als_user_recs, als_item_recs, als_train,
         als_recs_properties, dot_topk, cosine_topk, bounded_dot_topk, bounded_cosine_topk, cosine_pair_formula, cosine_recs_nested_topk, product_cf_lookup,
         user_cf_lookup, search_multi_field, more_like_this_terms, more_like_this, hybrid_scores,
