@@ -267,7 +267,10 @@ def merge_words(model: Model, symbols: np.ndarray, starts: np.ndarray) -> tuple[
         stay[places + 1] = False
         place = (np.cumsum(stay) - 1)[places]
         word, sym, merge = word[stay], sym[stay], merge[stay]
-        fresh = np.unique(np.concatenate((place - 1, place)))
+        changed = np.zeros(len(sym), bool)
+        changed[place] = True
+        changed[place[place > 0] - 1] = True
+        fresh = np.flatnonzero(changed)
     for k in np.flatnonzero(in_turn).tolist():
         found = _in_turn(model, symbols[starts[k] : starts[k] + lengths[k]].tolist())
         done.append((np.full(len(found), k), np.array(found, sym.dtype)))
