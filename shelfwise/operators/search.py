@@ -2,7 +2,6 @@
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions.text import inverse_document_frequency, saturation, tokens
@@ -73,8 +72,8 @@ def relevant(
 
     With several fields the best field's score counts. Each posting is sent only to the request
     blocks that hold its term, with its finished weight, and a block adds up its own documents:
-    (request, document) pairs are never rows. Terms travel as hash values; a block checks that
-    its own terms keep apart.
+    (request, document) pairs are never rows. Terms travel as numbers, which the distinct terms of all
+    requests get first.
     """
     spark = index.postings.sparkSession
     width = parallelism(spark)
@@ -83,26 +82,26 @@ def relevant(
 
     block = F.pmod(F.xxhash64("id"), F.lit(grid.blocks)).cast("int")
     strip = F.pmod(F.xxhash64("id"), F.lit(grid.strips)).cast("int")
-    asked = request_terms.withColumn("block", block)
+    words = request_terms.select("term").distinct().withColumn("word", F.monotonically_increasing_id())
+    words = staged(words, "words")  # written, so that the numbers stay
+    asked = request_terms.withColumn("block", block).join(words, "term")
     cell = (F.col("block") * grid.strips + F.col("strip")).cast("int").alias("cell")
-    word = F.xxhash64("term").alias("word")
 
     left = asked.withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(grid.strips - 1)))).select(
-        cell, F.col("id").cast("long"), F.lit(0).alias("part"), word, "term",
+        cell, F.col("id").cast("long"), F.lit(0).alias("part"), "word",
         F.col("need").cast("double").alias("weight"),
     )
     part = F.array_position(F.array(*map(F.lit, fields)), F.col("field")).cast("int") - 1
-    words = request_terms.select("term").distinct()
     terms, postings = (
-        of_keys(t, words).where(F.col("field").isin(fields)) for t in (index.terms, index.postings)
+        of_keys(t, words.select("term")).where(F.col("field").isin(fields)) for t in (index.terms, index.postings)
     )
     stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
     routes = (
-        asked.select("block", "term").distinct()
+        asked.select("block", "term", "word").distinct()
         .join(terms, "term")
         .join(stats, "field")
         .select(
-            "field", "term", "block", "avgdl",
+            "field", "term", "word", "block", "avgdl",
             inverse_document_frequency(F.col("n_docs"), F.col("df")).alias("idf"),
         )
     )
@@ -111,8 +110,7 @@ def relevant(
         join_by_term(postings, routes, heavy_terms(index, width))
         .withColumn("strip", strip)
         .select(
-            cell, F.col("id").cast("long"), part.alias("part"), word,
-            F.lit(None).cast("string").alias("term"), weight.alias("weight"),
+            cell, F.col("id").cast("long"), part.alias("part"), "word", weight.alias("weight"),
         )
     )
     n_fields = len(fields)
@@ -125,8 +123,6 @@ def relevant(
         by_word = np.argsort(words, kind="stable")
         askers = row[by_word].astype(np.int64)
         vocabulary, first = np.unique(words[by_word], return_index=True)
-        if vocabulary.size != pc.count_distinct(table.column("term")).as_py():
-            raise ValueError("two terms of one block share a hash value; use another grid")
         count = np.diff(np.append(first, words.size))
         width = max(1, SCORES_IN_MEMORY // (ids.size * n_fields))
 
