@@ -10,7 +10,7 @@ from shelfwise.llm.words import (
     ALNUM, LOWER, covered, first_words, gram_fits, gram_hashes, pieces, span_hashes, text_buffer,
     word_spans,
 )
-from shelfwise.session import staged
+from shelfwise.session import remove, scratch_path, staged
 
 WINDOW = 13
 SHINGLE = 3
@@ -252,7 +252,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_windows: int
     least one of ``HIT_SHARE`` words is hit.
 
     The windows are dealt to blocks of about ``block_windows`` by a hash, and each block, of bounded
-    size, goes to the tasks that read the documents. There a window's rarest shingle finds the
+    size, goes to the tasks that read the documents; what they find is written before the next block is
+    read. There a window's rarest shingle finds the
     places where it may stand; these must leave room for it, and are compared word by word.
 
     Null or empty text: no words, never contaminated; as an item: no windows. Null ``item_id``: the
@@ -271,9 +272,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_windows: int
     rest = read.schema["rest"].dataType.simpleString()
     schema = f"rest {rest}, text string, n_words long, n_hit long, hits binary, items array<string>"
     found = read.withColumns({"hits": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")})
+    spark, before = docs.sparkSession, None
     for k in range(max(blocks, 1)):
         block = _block(windows.where(F.pmod(F.xxhash64("item", "window"), F.lit(max(blocks, 1))) == k))
         found = found.select("rest", "text", "hits", "items").mapInArrow(_search(block, _prefixes(read, block)), schema)
+        if k + 1 < blocks:
+            # Written, so that neither the driver nor a task holds more than one block.
+            path = scratch_path(spark, "hits")
+            found.write.parquet(path)
+            found = spark.read.schema(found.schema).parquet(path)
+            if before is not None:
+                remove(spark, before)
+            before = path
     contaminated = (F.col("n_hit") > 0) & (HIT_SHARE * F.col("n_hit") >= F.col("n_words"))
     kept = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns if c not in added]
     return found.select(*kept, "n_words", "n_hit", "items", contaminated.alias("contaminated"))

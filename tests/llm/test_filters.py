@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,6 +15,7 @@ from shelfwise.llm.ordered import running_last, running_sums
 from shelfwise.llm.quality_classifier import importance
 from shelfwise.llm.quality_rules import apply_rules
 from shelfwise.llm.url_filter import judge_urls
+from shelfwise.session import scratch
 
 
 @pytest.mark.parametrize("block", [1 << 17, 5])
@@ -35,6 +37,18 @@ def test_contamination(spark, odd, odd_rows, block):
     assert clean.where("contaminated OR n_hit > 0").count() == 0 and clean.count() == len(odd_rows)
 
 
+def test_one_block_of_windows_at_a_time(spark, odd):
+    items = [(k, f"one two three four five six seven eight nine ten eleven twelve {k} and more") for k in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    with scratch(spark) as folder:
+        found = find_contamination(odd, benchmark, 20)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+        local = Path(folder.removeprefix("file:"))
+        assert len(list(local.glob("hits-*"))) == 1
+        assert found.count() == odd.count() and found.where("n_hit > 0").count() == 0
+
+
 def test_rules_count_like_brute_force(odd, odd_rows, labels):
     found = apply_rules(odd, labels)
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
