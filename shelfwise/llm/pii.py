@@ -1,4 +1,4 @@
-"""Personal data in texts: exact formats, and boosted trees over looser candidates.
+"""Personal data and secrets in texts: exact formats, and boosted trees over looser candidates.
 
 Everything runs as column expressions. A document's spans are arrays in its row, so nothing is
 shuffled but the counts that the trees are fitted on.
@@ -10,7 +10,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-KINDS = ("email", "ip", "card", "phone")
+#: The kinds with a base format, and those that only the trees can find.
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 
 #: The base formats. Quantifiers that cannot give back are possessive, and a run that failed from
 #: its first character is not tried again from the next ones; both leave the matches as they are.
@@ -23,26 +25,39 @@ BASE = {
 #: What a text must contain to be searched.
 NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
-#: Candidates: the base formats and ways around them.
+#: Candidates: the base formats and ways around them, and long runs of letters and digits.
 LOOSE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|[\[({<]at[\])}>]) ?[A-Za-z0-9-]++"
     r"(?: ?(?:\.|[\[({<]dot[\])}>]) ?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9]++(?:(?:\.|[\[({<](?:\.|dot)[\])}>])[0-9]++){3}|(?:[0-9A-Fa-f]{1,4}+:){7}+[0-9A-Fa-f]{1,4}+)",
     "card": r"[0-9](?:[ ._/-]{0,2}+[0-9]){12,}+",
     "phone": r"(?<![0-9A-Za-z+])(?:\+|00|\()?+[0-9](?:[ ().‐-―/-]{0,3}+[0-9]){7,}+",
+    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])[A-Za-z0-9_+/=-]{16,}+",
 }
 
 _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _OCTETS = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
-_CONTEXT = (
-    r"(?i)(?:mail|contact|write|reach|phone|tel|call|mobile|fax|whatsapp|card|visa|amex|credit|payment|\bip\b|"
-    r"server|host|address|login|adresse|correo|courriel|telefon|karte|carte|tarjeta)[^A-Za-z0-9]{0,3}[A-Za-z]{0,8}[^A-Za-z0-9]{0,3}$"
-)
+#: Words that announce a kind, shortly before it.
+_WORDS = {
+    "email": "mail|contact|write|reach|address|adresse|correo|courriel",
+    "ip": "\\bip\\b|server|host|address|login|adresse",
+    "card": "card|visa|amex|credit|payment|karte|carte|tarjeta",
+    "phone": "phone|tel|call|mobile|fax|whatsapp|téléphone|teléfono",
+    "secret": "token|secret|passw|pwd|key|credential|bearer|auth",
+}
+
+
+def _announced(kind: str, left: Column) -> Column:
+    pattern = rf"(?i)(?:{_WORDS[kind]})[^A-Za-z0-9]{{0,3}}[A-Za-z]{{0,8}}[^A-Za-z0-9]{{0,4}}$"
+    return F.coalesce(F.rlike(left, F.lit(pattern)), F.lit(False))
+
+
 _REGULAR = {
     "email": r"(?:\.|dot[\])}>]) ?[A-Za-z]{2,}$",
     "ip": r"^[0-9]{1,3}(?:[^0-9]+[0-9]{1,3}){3}$",
     "card": r"^[3-6][0-9]{3}(?:([ ._/-]{0,2})[0-9]{4}){2}(?:[ ._/-]{0,2}[0-9]+)+$",
     "phone": r"[0-9]{3}[^0-9]+[0-9]{4}$",
+    "secret": r"^(?:[0-9a-f]{20,}|[0-9A-F]{20,})$",
 }
 
 CONTEXT_CHARS = 32
@@ -50,10 +65,14 @@ CONTEXT_CHARS = 32
 RUN = 256
 
 TREES, RATE = 40, 0.3
-#: Added spans have to score where at least this share of held-out candidates are base spans, with
-#: so many others assumed beside those counted, so that a few candidates prove nothing.
+#: Added spans have to score where at least this share of held-out candidates are true by the evidence,
+#: with so many others assumed beside those counted, so that a few candidates prove nothing.
 PRECISION = 0.9
 DOUBT = 2
+#: Kinds whose evidence is a check on the candidate's own digits, and the share of chance numbers that
+#: pass it (one check digit; for addresses an upper estimate). The evidence of the other kinds is a word
+#: before the candidate that announces them.
+CHANCE = {"ip": 0.1, "card": 0.1}
 
 
 def _digits(text: Column) -> Column:
@@ -165,31 +184,47 @@ FEATURES = {"digits": 5, "signs": 4, "before": 4, "after": 4, "context": 2, "reg
 
 
 def _features(kind: str, m: Column) -> dict[str, Column]:
+    """Format and context. A kind that is known by the words before it has no feature of them, so that
+    the trees have to tell it by the rest."""
     text = m["text"]
     return {
         "digits": _level(F.length(_digits(text)), 8, 13, 16, 20),
         "signs": _level(F.length(F.regexp_replace(text, "[A-Za-z0-9]", "")), 1, 3, 5),
         "before": _char_class(F.right(m["left"], F.lit(1))),
         "after": _char_class(m["right"]),
-        "context": F.coalesce(F.rlike(m["left"], F.lit(_CONTEXT)), F.lit(False)).cast("int"),
+        "context": _announced(kind, m["left"]).cast("int") if kind in CHANCE else F.lit(0),
         "regular": F.rlike(text, F.lit(_REGULAR[kind])).cast("int"),
         "chars": _level(F.length(text), 12, 20, 30),
     }
 
 
+def evidence(kind: str, m: Column) -> Column:
+    """What speaks for a candidate beside its features: right check digit, parts in range, or announced."""
+    text = m["text"]
+    if kind == "card":
+        digits = _digits(text)
+        return F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False)
+    if kind == "ip":
+        plain = F.regexp_replace(text, "[^0-9]+", ".")
+        return F.when(F.contains(text, F.lit(":")), F.rlike(text, F.lit("[0-9A-Fa-f]{3}"))).otherwise(valid("ip", plain))
+    return _announced(kind, m["left"])
+
+
 def _is_base(kind: str, text: Column) -> Column:
     """Whether the base format stands in a candidate's own text."""
+    if kind not in BASE_KINDS:
+        return F.lit(False)
     found = F.regexp_extract_all(text, F.lit(BASE[kind]), F.lit(0))
     return F.exists(found, lambda b: valid(kind, b))
 
 
 def candidates(kind: str, text: Column) -> Column:
-    """Loose matches with their features, and whether each is a base span."""
+    """Loose matches with their features and evidence, and whether each is a base span."""
     return F.transform(
         _searched(text, LOOSE[kind], F.lit(True)),
         lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), _is_base(kind, m["text"]).alias("base"),
-            *[v.cast("int").alias(name) for name, v in _features(kind, m).items()],
+            evidence(kind, m).alias("true"), *[v.cast("int").alias(name) for name, v in _features(kind, m).items()],
         ),
     )
 
@@ -237,7 +272,7 @@ def score(trees: list[Tree], row: dict) -> float:
 
 
 def boosted(table: list[tuple[dict, int, int]]) -> list[Tree]:
-    """Logistic boosting over counted feature rows: (features, base spans, others)."""
+    """Logistic boosting over counted feature rows: (features, with evidence, without)."""
     trees: list[Tree] = []
     features = list(FEATURES)
     scores = [0.0] * len(table)
@@ -267,6 +302,13 @@ def calibrated(trees: list[Tree], table: list[tuple[dict, int, int]]) -> float |
     return limit
 
 
+def _by_chance(table: list[tuple[dict, int, int]], chance: float) -> list[tuple[dict, float, float]]:
+    """Of the candidates that pass a check, how many are true and how many pass by chance: so many as
+    the number of those that fail lets expect."""
+    lucky = [min(yes, no * chance / (1 - chance)) for _, yes, no in table]
+    return [(row, yes - n, n) for (row, yes, _), n in zip(table, lucky)]
+
+
 def _score(trees: list[Tree], candidate: Column) -> Column:
     def right(split):
         return candidate[split[0]] > split[1]
@@ -283,11 +325,12 @@ def fit(docs: DataFrame) -> dict[str, tuple[list[Tree], float]]:
     """Trees and threshold of each kind that has any, from the candidates of all documents.
 
     Half of the texts, by a hash, give the counts that trees are fitted on, the others those that
-    set the threshold. Only counts of feature values leave the executors.
+    set the threshold; a kind with a check takes there only candidates that are no base spans, as
+    only these can be added. Only counts of feature values leave the executors.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     tagged = F.concat(
-        *[F.transform(candidates(kind, F.col("t")), lambda c: F.struct(F.lit(k).alias("kind"), *[c[n].alias(n) for n in ("base", *FEATURES)]))
+        *[F.transform(candidates(kind, F.col("t")), lambda c: F.struct(F.lit(k).alias("kind"), *[c[n].alias(n) for n in ("base", "true", *FEATURES)]))
           for k, kind in enumerate(KINDS)]
     )
     counted = (
@@ -295,20 +338,26 @@ def fit(docs: DataFrame) -> dict[str, tuple[list[Tree], float]]:
         .where(F.rlike("t", F.lit("[0-9@]|[\\[({<]at[\\])}>]")))
         .select((F.xxhash64("t") % 2 == 0).alias("fitted"), F.explode(tagged).alias("c"))
         .groupBy("fitted", "c.kind", *[f"c.{n}" for n in FEATURES])
-        .agg(F.count_if("c.base").alias("yes"), F.count_if(~F.col("c.base")).alias("no"))
+        .agg(
+            F.count_if("c.true").alias("yes"), F.count_if(~F.col("c.true")).alias("no"),
+            F.count_if(F.expr("c.true AND NOT c.base")).alias("new_yes"),
+            F.count_if(F.expr("NOT c.true AND NOT c.base")).alias("new_no"),
+        )
         .collect()
     )
     models = {}
     for k, kind in enumerate(KINDS):
+        new = "new_" if kind in CHANCE else ""
         folds = [
             sorted(
-                (({n: r[n] for n in FEATURES}, r.yes, r.no) for r in counted if r.kind == k and r.fitted == fold),
+                (({n: r[n] for n in FEATURES}, r[f"{of}yes"], r[f"{of}no"]) for r in counted if r.kind == k and r.fitted == fold),
                 key=lambda x: tuple(x[0].values()),
             )
-            for fold in (True, False)
+            for fold, of in ((True, ""), (False, new))
         ]
         trees = boosted(folds[0])
-        limit = calibrated(trees, folds[1]) if trees else None
+        held_out = _by_chance(folds[1], CHANCE[kind]) if kind in CHANCE else folds[1]
+        limit = calibrated(trees, held_out) if trees else None
         if limit is not None:
             models[kind] = (trees, limit)
     return models
@@ -323,10 +372,11 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     Base spans are the leftmost matches of each kind's format that are valid: an IP address has
     parts up to 255, a card number 16 to 19 digits and a right check digit, a phone number 8 to 15
-    digits. Looser patterns propose more candidates; boosted trees score their format and context,
-    taking the base spans among them as examples, and those above the calibrated threshold of their
-    kind join the spans unless they overlap a base span or a better candidate. Offsets count code
-    points, ends are exclusive.
+    digits. Looser patterns propose more candidates, among them runs of letters and digits that may be
+    secrets. Boosted trees score their format and context, taking as examples those that evidence
+    speaks for which is no feature (``evidence``). Those above the calibrated threshold of their kind, and
+    with a right check where their kind has one, join the spans unless they overlap a base span or a
+    better candidate. Offsets count code points, ends are exclusive.
 
     Null or empty text: no spans. Other columns are kept, whatever they hold; ``base`` and ``spans``
     of the input are replaced. Equal rows get equal spans. An empty table gives an empty table.
@@ -337,12 +387,12 @@ def find_pii(docs: DataFrame) -> DataFrame:
     span = "array<struct<kind:int,start:int,end:int>>"
     base = F.concat(
         *[F.transform(base_spans(kind, text), lambda m: F.struct(F.lit(k).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
-          for k, kind in enumerate(KINDS)]
+          for k, kind in enumerate(BASE_KINDS)]
     ).cast(span)
     scored = F.array().cast("array<struct<score:double,kind:int,start:int,end:int>>")
     for kind, (trees, limit) in models.items():
         own = F.transform(
-            F.filter(candidates(kind, text), lambda c: ~c["base"]),
+            F.filter(candidates(kind, text), lambda c: ~c["base"] & (c["true"] if kind in CHANCE else F.lit(True))),
             lambda c: F.struct(
                 _score(trees, c).alias("score"), F.lit(KINDS.index(kind)).alias("kind"), c["start"].alias("start"), c["end"].alias("end")
             ),

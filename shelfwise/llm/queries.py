@@ -8,7 +8,7 @@ from shelfwise.llm.decontamination import find_contamination
 from shelfwise.llm.html_extraction import extract_pages
 from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.mixing import mix
-from shelfwise.llm.pii import KINDS, count_of, find_pii, written
+from shelfwise.llm.pii import BASE_KINDS, count_of, find_pii, written
 from shelfwise.llm.quality_classifier import importance
 from shelfwise.llm.quality_rules import apply_rules
 from shelfwise.llm.sentencepieces import decode, encode
@@ -40,9 +40,11 @@ def op2_pii(spark, folder):
     found = find_pii(_table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(
         "doc_id",
-        *[count_of("base", kind).alias(f"n_{kind}") for kind in KINDS],
+        *[count_of("base", kind).alias(f"n_{kind}") for kind in BASE_KINDS],
         F.sha2(written("base"), 256).alias("base_sha256"),
         written("spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
 
 

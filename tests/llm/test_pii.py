@@ -69,3 +69,60 @@ def test_boosting_separates_what_features_separate():
 def test_equal_rows_get_equal_spans(spark):
     docs = spark.createDataFrame([(1, "a@b.cd"), (1, "a@b.cd")], "n long, text string")
     assert outcome(written(pii.find_pii(docs)), "base") == [("email:0:6",)] * 2
+
+
+def test_secrets_are_told_by_form_not_only_by_their_word(spark):
+    """Precision and recall of additions over planted secrets, among runs of equal length that are none."""
+    rng = random.Random(5)
+
+    def code(n, letters):
+        return "".join(rng.choice(letters) for _ in range(n - 1)) + "7a"[rng.randint(0, 1)]
+
+    rows, true = [], {}
+    for k in range(400):
+        secret = code(40, "0123456789abcdef")
+        rows.append((k, f'here {rng.choice(["token", "api_key", "password", "secret"])} = "{secret}" and words', None, "x"))
+        true[k] = secret
+    for k in range(400, 420):  # of the same form, without a word that announces them
+        secret = code(40, "0123456789abcdef")
+        rows.append((k, f'so it was "{secret}" in the end', None, "x"))
+        true[k] = secret
+    for k in range(1000, 1400):
+        rows.append((k, f"see /archive/{rng.randint(1990, 2020)}/page-{k}/index_{k} and version-{k}-of-the-book-{k}", None, "x"))
+    rows.append((5000, None, "a", "b"))
+    docs = spark.createDataFrame(rows + rows[:3], "n long, text string, base string, spans string")
+    found = pii.find_pii(docs).select("n", "text", "base", "spans").collect()
+    assert len(found) == len(docs.collect())
+    added = [(r.n, r.text[s.start:s.end]) for r in found for s in r.spans if s.kind == pii.KINDS.index("secret")]
+    right = [x for x in added if true.get(x[0]) == x[1]]
+    assert len(right) >= 0.9 * len(added) and {n for n, _ in right} == set(true)
+    assert not any(r.base for r in found)
+
+
+def test_check_digits_decide_over_other_forms(spark):
+    """Numbers of 15 digits in groups are added where more have a right check digit than chance lets expect."""
+    rng = random.Random(8)
+
+    def luhn_ok(digits):
+        total = sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(digits)))
+        return total % 10 == 0
+
+    def number(good):
+        while True:
+            d = "37" + "".join(str(rng.randint(0, 9)) for _ in range(13))
+            if luhn_ok(d) == good:
+                return d
+
+    cards = [(k, "card {}.{}.{} ok".format(d[:4], d[4:10], d[10:])) for k in range(300) for d in [number(True)]]
+    chance = [(1000 + k, f"serial {number(rng.random() < 0.1)} made") for k in range(600)]
+    found = pii.find_pii(spark.createDataFrame(cards + chance, "n long, text string"))
+    by = {r.n: [s.kind for s in r.spans] for r in found.collect()}
+    assert all(by[k] == [pii.KINDS.index("card")] for k in range(300))
+    assert not any(pii.KINDS.index("card") in by[1000 + k] for k in range(600))
+
+
+def test_without_the_trees_the_result_is_another(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f'token = "{k:03d}{"0a1b2c3d4e5f" * 3}"') for k in range(60)], "n long, text string")
+    assert pii.find_pii(docs).where("size(spans) = 1").count() == 60
+    monkeypatch.setattr(pii, "fit", lambda docs: {})
+    assert pii.find_pii(docs).where("size(spans) = 0").count() == 60
