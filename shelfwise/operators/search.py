@@ -22,6 +22,9 @@ MAX_REQUESTS = 4096
 MAX_TERMS = 200_000
 MATCHES_IN_MEMORY = 2_000_000
 POSTINGS_PER_STEP = 100_000
+
+# Bounds first look up the rarest terms of a request, with up to this share of all its postings.
+RARE_SHARE = 0.1
 SCORES_IN_MEMORY = 300_000
 
 
@@ -63,6 +66,69 @@ def source_terms(
     return selected.select("id", need.alias("need"), "term")
 
 
+def leading_terms(
+    index: TextIndex, request_terms: DataFrame, fields: list[str], floor: DataFrame | None = None,
+    k1: float = K1, b: float = B,
+) -> DataFrame:
+    """``request_terms`` with ``df`` and ``leads``: every answer of a request has a leading term of it.
+
+    A hit shares ``need`` terms, so all but the ``need`` - 1 most frequent ones can lead alone. With
+    ``floor(id, floor)``, a score that each answer reaches, the terms whose largest weights together
+    stay below it need not lead either. Per request the rule that leaves more postings aside holds.
+    """
+    stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
+    most = inverse_document_frequency(F.col("n_docs"), F.col("df")) * saturation(
+        F.col("max_tf"), F.col("min_dl"), F.col("avgdl"), k1, b
+    )
+    known = of_keys(index.terms, request_terms.select("term")).where(F.col("field").isin(fields))
+    known = known.join(stats, "field").groupBy("term").agg(F.sum("df").alias("df"), F.max(most).alias("most"))
+    found = request_terms.join(known, "term", "left").fillna(0, ["df", "most"])
+    whole = Window.partitionBy("id")
+    rank = F.row_number().over(whole.orderBy("df", "term"))
+    frequent = rank > F.count("*").over(whole) - F.col("need") + 1
+    if floor is None:
+        weak = F.lit(False)
+        found = found.withColumn("floor", F.lit(None).cast("double"))
+    else:
+        found = found.join(floor, "id", "left")
+        together = F.sum("most").over(whole.orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0))
+        weak = F.coalesce(together < F.col("floor"), F.lit(False))
+    found = found.withColumn("frequent", frequent).withColumn("weak", weak)
+    saved = [F.sum(F.when(F.col(c), F.col("df")).otherwise(0)).over(whole) for c in ("weak", "frequent")]
+    aside = F.when(saved[0] > saved[1], F.col("weak")).otherwise(F.col("frequent"))
+    return found.withColumn("leads", ~aside).select(*request_terms.columns, "df", "leads")
+
+
+def _floor(index, request_terms, fields, n, digits, **how):
+    """``floor(id, floor)``: the n-th score by each request's rarest terms alone, which its n-th score
+    by all of them reaches, less what rounding may hide. Requests with fewer hits have none."""
+    by_df = leading_terms(index, request_terms, fields)
+    whole = Window.partitionBy("id")
+    upto = F.sum("df").over(whole.orderBy("df", "term").rowsBetween(Window.unboundedPreceding, 0))
+    rare = by_df.withColumn("rare", upto <= RARE_SHARE * F.sum("df").over(whole)).where("rare")
+    found = relevant(index, rare.select(*request_terms.columns), fields, n, digits=None, **how)
+    floors = found.groupBy("id").agg(F.count("*").alias("hits"), F.min("r").alias("floor")).where(F.col("hits") == n)
+    slack = 10.0 ** -digits if digits is not None else 0.0
+    return staged(floors.select("id", (F.col("floor") * (1 - 1e-9) - slack).alias("floor")), "floors")
+
+
+def bounded_relevant(
+    index: TextIndex, request_terms: DataFrame, fields: list[str], n: int = ANSWER_ITEMS,
+    skip_self: bool = False, digits: int | None = None, k1: float = K1, b: float = B, grid: Grid | None = None,
+) -> DataFrame:
+    """The answers of ``relevant``, by way of the documents that can be among them.
+
+    The rarest terms alone give each request a score that its answers reach. The postings of the terms
+    that must lead by it propose documents; of the others, the most frequent ones, only the
+    postings of proposed documents travel.
+    """
+    request_terms = staged(request_terms, "request-terms")
+    how = dict(skip_self=skip_self, k1=k1, b=b)
+    floor = _floor(index, request_terms, fields, n, digits, **how)
+    led = staged(leading_terms(index, request_terms, fields, floor, k1, b), "leading")
+    return relevant(index, led, fields, n, digits=digits, grid=grid, **how)
+
+
 def relevant(
     index: TextIndex, request_terms: DataFrame, fields: list[str], n: int = ANSWER_ITEMS,
     skip_self: bool = False, digits: int | None = None, k1: float = K1, b: float = B,
@@ -73,7 +139,8 @@ def relevant(
     With several fields the best field's score counts. Each posting is sent only to the request
     blocks that hold its term, with its finished weight, and a block adds up its own documents:
     (request, document) pairs are never rows. Terms travel as numbers, which the distinct terms of all
-    requests get first.
+    requests get first. Where ``request_terms`` says which terms lead (``leading_terms``), a block takes
+    postings of other terms only for documents that a leading term of one of its requests proposes.
     """
     spark = index.postings.sparkSession
     width = parallelism(spark)
@@ -96,18 +163,30 @@ def relevant(
         of_keys(t, words.select("term")).where(F.col("field").isin(fields)) for t in (index.terms, index.postings)
     )
     stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
+    leads = F.max("leads").alias("leads") if "leads" in request_terms.columns else F.lit(True).alias("leads")
     routes = (
-        asked.select("block", "term", "word").distinct()
+        asked.groupBy("block", "term", "word").agg(leads)
         .join(terms, "term")
         .join(stats, "field")
         .select(
-            "field", "term", "word", "block", "avgdl",
+            "field", "term", "word", "block", "avgdl", "leads",
             inverse_document_frequency(F.col("n_docs"), F.col("df")).alias("idf"),
         )
     )
     weight = F.col("idf") * saturation(F.col("tf"), F.col("dl"), F.col("avgdl"), k1, b)
+    heavy = heavy_terms(index, width)
+    routed = join_by_term(postings, routes.where("leads"), heavy)
+    if "leads" in request_terms.columns:
+        routed = staged(routed.select("block", "id", "field", "word", weight.alias("weight")), "proposing")
+        weight = F.col("weight")
+        proposed = routed.select("block", "id").distinct()
+        others = join_by_term(postings, routes.where("NOT leads"), heavy).join(proposed, ["block", "id"], "left_semi")
+        others = others.select("block", "id", "field", "word", (
+            F.col("idf") * saturation(F.col("tf"), F.col("dl"), F.col("avgdl"), k1, b)
+        ).alias("weight"))
+        routed = routed.unionByName(others)
     right = (
-        join_by_term(postings, routes, heavy_terms(index, width))
+        routed
         .withColumn("strip", strip)
         .select(
             cell, F.col("id").cast("long"), part.alias("part"), "word", weight.alias("weight"),

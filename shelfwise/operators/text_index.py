@@ -14,7 +14,7 @@ FIELDS = ("name", "features")
 @dataclass(frozen=True)
 class TextIndex:
     """``postings(id, field, term, tf, dl)`` by term, the same rows ``forward`` by document,
-    ``terms(field, term, df, occurrences)`` and ``stats(field, ...)``."""
+    ``terms(field, term, df, occurrences, max_tf, min_dl)`` and ``stats(field, ...)``."""
 
     postings: DataFrame
     forward: DataFrame
@@ -50,9 +50,12 @@ def postings(catalog: DataFrame, fields=FIELDS) -> DataFrame:
 
 
 def term_statistics(postings: DataFrame) -> DataFrame:
-    """Document frequency per field and term, with the total count of occurrences."""
+    """Document frequency per field and term, with the total count of occurrences, the largest count in
+    one document and the least length of a document: no posting of the term weighs more than these two
+    together would."""
     return postings.groupBy("field", "term").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("occurrences")
+        F.count("*").alias("df"), F.sum("tf").alias("occurrences"),
+        F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"),
     )
 
 
@@ -85,7 +88,8 @@ def write_index_delta(base: TextIndex, changed: DataFrame, path: str, fields=FIE
 
     Only the postings of changed documents are written, with the ids they replace. Document frequencies
     and lengths are corrected by what came and what went, so that no other posting is read; the tables
-    of terms and of statistics, small beside the postings, are written whole.
+    of terms and of statistics, small beside the postings, are written whole. The bounds of a term's
+    postings also hold for those that went, until the index is built anew.
     """
     spark = changed.sparkSession
     write_table(changed.select("id").where("id IS NOT NULL").distinct(), f"{path}/replaced", "id")
@@ -99,10 +103,12 @@ def write_index_delta(base: TextIndex, changed: DataFrame, path: str, fields=FIE
     signed = [came.withColumn("sign", F.lit(1)), went.withColumn("sign", F.lit(-1))]
     moves = signed[0].unionByName(signed[1])
     per_term = moves.groupBy("field", "term").agg(
-        F.sum("sign").alias("df"), F.sum(F.col("tf") * F.col("sign")).alias("occurrences")
+        F.sum("sign").alias("df"), F.sum(F.col("tf") * F.col("sign")).alias("occurrences"),
+        F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"),
     )
     terms = base.terms.drop(BUCKET).unionByName(per_term).groupBy("field", "term").agg(
-        F.sum("df").alias("df"), F.sum("occurrences").alias("occurrences")
+        F.sum("df").alias("df"), F.sum("occurrences").alias("occurrences"),
+        F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl"),
     )
     write_table(terms.where("df > 0"), f"{path}/terms", "term", "field")
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from shelfwise.operators.cells import Grid
-from shelfwise.operators.search import relevant, source_terms, text_terms
+from shelfwise.operators.search import bounded_relevant, leading_terms, relevant, source_terms, text_terms
 from shelfwise.operators.text_index import build_index, heavy_terms
 
 FIELDS = ["name", "features"]
@@ -81,8 +81,11 @@ def test_frequent_terms_are_spread(index):
     assert heavy["the"] == max(heavy.values()) > 10
 
 
-@pytest.mark.parametrize("grid", [None, Grid(1, 1), Grid(3, 1), Grid(1, 4), Grid(4, 3)])
-def test_search_equals_brute_force(spark, rows, index, grid):
+@pytest.mark.parametrize("grid, search", [
+    *[(grid, relevant) for grid in (None, Grid(1, 1), Grid(3, 1), Grid(1, 4), Grid(4, 3))],
+    (None, bounded_relevant), (Grid(4, 3), bounded_relevant),
+])
+def test_search_equals_brute_force(spark, rows, index, grid, search):
     asked = [(7, "the w1 W3 w3"), (8, "w50 w51"), (9, "nothing here"), (10, "!?"), (11, "the")]
     expected = python_index(rows)
     want = {}
@@ -96,11 +99,13 @@ def test_search_equals_brute_force(spark, rows, index, grid):
         if scored:
             want[key] = sorted(scored)[:10]
     terms = text_terms(spark.createDataFrame(asked, "key long, text string"))
-    assert lists(relevant(index, terms, FIELDS, 10, digits=6, grid=grid)) == want
+    assert lists(search(index, terms, FIELDS, 10, digits=6, grid=grid)) == want
 
 
-@pytest.mark.parametrize("grid", [None, Grid(1, 1), Grid(2, 3)])
-def test_similar_content_equals_brute_force(rows, index, grid):
+@pytest.mark.parametrize("grid, search", [
+    *[(grid, relevant) for grid in (None, Grid(1, 1), Grid(2, 3))], (Grid(2, 3), bounded_relevant),
+])
+def test_similar_content_equals_brute_force(rows, index, grid, search):
     expected = python_index(rows)
     tf, df, dl, _ = expected["features"]
     want = {}
@@ -119,7 +124,7 @@ def test_similar_content_equals_brute_force(rows, index, grid):
         if scored:
             want[i] = sorted(scored)[:10]
     terms = source_terms(index, max_query_terms=6)
-    got = relevant(index, terms, ["features"], 10, skip_self=True, digits=6, grid=grid)
+    got = search(index, terms, ["features"], 10, skip_self=True, digits=6, grid=grid)
     assert lists(got) == want
 
 
@@ -133,3 +138,31 @@ def test_an_id_given_twice_is_indexed_once(spark):
     index = build_index(spark.createDataFrame(rows, "id long, name string, features string"))
     got = {(r["id"], r["field"], r["term"], r["tf"]) for r in index.postings.collect()}
     assert got == {(1, "name", "a", 1), (1, "features", "a", 2), (2, "features", "c", 1)}
+
+
+def test_frequent_terms_do_not_lead(spark, index):
+    """Of a rare and a frequent term, and of terms of which several are needed, the frequent ones follow."""
+    asked = [(1, 1, "the"), (1, 1, "w50"), (1, 1, "w55"), (2, 2, "the"), (2, 2, "w1"), (2, 2, "w50"), (3, 1, "the")]
+    terms = spark.createDataFrame(asked, "id long, need int, term string")
+    leading = leading_terms(index, terms, FIELDS).where("leads")
+    assert {(r["id"], r["term"]) for r in leading.collect()} == {
+        (1, "the"), (1, "w50"), (1, "w55"), (2, "w1"), (2, "w50"), (3, "the"),
+    }
+    floor = spark.createDataFrame([(1, 0.5), (2, 0.0), (3, 0.001)], "id long, floor double")
+    by_floor = leading_terms(index, terms, FIELDS, floor).where("leads")
+    assert {(r["id"], r["term"]) for r in by_floor.collect()} == {
+        (1, "w50"), (1, "w55"), (2, "w1"), (2, "w50"), (3, "the"),
+    }
+
+
+def test_bounds_keep_postings_of_frequent_terms_away(spark):
+    """A term in all documents and a rare one: only the documents of the rare one are taken."""
+    rows = [(i, None, f"the a{i % 7} " + ("rare " * (1 + i % 3) if i % 50 == 0 else "x")) for i in range(3000)]
+    index = build_index(spark.createDataFrame(rows, "id long, name string, features string"))
+    terms = text_terms(spark.createDataFrame([(1, "the rare")], "key long, text string"))
+    got = bounded_relevant(index, terms, ["features"], 10, digits=6)
+    assert lists(got) == lists(relevant(index, terms, ["features"], 10, digits=6))
+    floor = spark.createDataFrame([(1, 3.0)], "id long, floor double")
+    led = leading_terms(index, terms, ["features"], floor)
+    df = {(r["term"], r["leads"]): r["df"] for r in led.collect()}
+    assert df == {("the", False): 3000, ("rare", True): 60}

@@ -285,3 +285,7 @@ ORACLES |= {"table_roundtrip": _PER_PRODUCT, "compact_then_load": _PER_PRODUCT,
 ORACLES["compact_small_files"] = (
     _with(LINES, DOCUMENTS) + "SELECT p_type AS category, count(*) AS lines FROM docs GROUP BY p_type"
 )
+
+# Bounds change the way, not the answers.
+ORACLES["bounded_search"] = ORACLES["search_multi_field"]
+ORACLES["bounded_more_like_this"] = ORACLES["more_like_this"]

@@ -168,8 +168,10 @@ def incremental_index(spark, folder):
     base = build_index(old)
     write_index_delta(base, catalog.where("id % 3 > 0"), path)
     index = with_delta(base, spark, path)
-    counted = term_statistics(index.postings).withColumnsRenamed({"df": "counted", "occurrences": "_o"})
-    return index.terms.drop(tables.BUCKET).join(counted, ["field", "term"]).where("df = counted").drop("counted", "_o")
+    counted = term_statistics(index.postings).select("field", "term", F.col("df").alias("counted"))
+    return (
+        index.terms.join(counted, ["field", "term"]).where("df = counted").select("field", "term", "df", "occurrences")
+    )
 
 
 def ratings_triples(spark, folder):
@@ -193,7 +195,7 @@ def _index(spark, folder):
 
 
 def text_index_terms(spark, folder):
-    return _index(spark, folder).terms.drop(tables.BUCKET)
+    return _index(spark, folder).terms.select("field", "term", "df", "occurrences")
 
 
 def text_index_postings(spark, folder):
@@ -369,6 +371,11 @@ def search_multi_field(spark, folder):
     return recommend.by_text(wanted, _index(spark, folder), digits=DIGITS)
 
 
+def bounded_search(spark, folder):
+    wanted = inputs.text_requests(spark, folder)
+    return recommend.by_text(wanted, _index(spark, folder), digits=DIGITS, bounded=True)
+
+
 def more_like_this_terms(spark, folder):
     return source_terms(_index(spark, folder))
 
@@ -378,6 +385,11 @@ def more_like_this(spark, folder):
     return recommend.similar_content(wanted, _index(spark, folder), digits=DIGITS)
 
 
+def bounded_more_like_this(spark, folder):
+    wanted = inputs.document_requests(spark, folder)
+    return recommend.similar_content(wanted, _index(spark, folder), digits=DIGITS, bounded=True)
+
+
 def _hybrid_inputs(spark, folder):
     return (
         inputs.document_requests(spark, folder),
@@ -530,7 +542,7 @@ QUERIES = {
         table_roundtrip, incremental_load, incremental_index, ratings_triples, distinct_ids, text_index_terms, text_index_postings,
         text_index_documents, als_factors, als_predict, als_user_recs, als_item_recs, als_train,
         als_recs_properties, dot_topk, cosine_topk, bounded_dot_topk, bounded_cosine_topk, cosine_pair_formula, cosine_recs_nested_topk, product_cf_lookup,
-        user_cf_lookup, search_multi_field, more_like_this_terms, more_like_this, hybrid_scores,
+        user_cf_lookup, search_multi_field, bounded_search, more_like_this_terms, more_like_this, bounded_more_like_this, hybrid_scores,
         hybrid_topk, requests_json, requests_text_json, hot_requests, streamed_requests, interrupted_publish,
         user_cf_from_reviews, stored_answers,
     )
