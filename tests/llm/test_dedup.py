@@ -23,6 +23,15 @@ def test_substrings(odd, odd_rows):
     assert outcome(found, "doc_id", "n_words", "n_removed", "text") == ordered(brute.substrings(odd_rows))
 
 
+def test_long_words_of_one_pattern_are_told_apart(spark):
+    signs = [bin(k).count("1") % 2 for k in range(4096)]
+    start = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, start + " " + "".join("ab"[s] for s in signs)), (2, start + " " + "".join("ba"[s] for s in signs))]
+    rows += [(3, rows[0][1])]
+    found = dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert outcome(found, "doc_id", "n_words", "n_removed", "text") == ordered(brute.substrings(rows))
+
+
 def test_lines(odd, odd_rows):
     found = dedup_lines(odd)
     assert outcome(found, "doc_id", "n_lines", "n_dropped", "text") == ordered(brute.lines(odd_rows))
