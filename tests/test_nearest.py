@@ -3,8 +3,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.vectors import cosine
-from shelfwise.operators.cells import Grid, plan_grid
+from shelfwise.operators.cells import BestK, Grid, plan_grid
 from shelfwise.operators.nearest import topk_cosine, topk_dot
+from shelfwise.operators.products import LEFT, RIGHT, Rule, offer_products, side
 
 
 def frame(spark, vectors, start=0):
@@ -100,3 +101,42 @@ def test_no_cross_join_in_the_plan(spark):
     df = frame(spark, np.eye(3))
     plan = topk_cosine(df, 3)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_lists_of_single_pairs_and_of_matrices_agree():
+    random = np.random.default_rng(9)
+    scores = np.round(random.normal(size=(40, 3000)), 2)
+    scores[3] = scores[5] = 0.5
+    partners = random.permutation(3000)
+    whole, single = BestK(40, 7), BestK(40, 7)
+    whole.offer(scores, partners)
+    for at in range(0, 3000, 100):
+        row, col = np.nonzero(scores[:, at : at + 100] > -1)
+        single.take(row, scores[row, at + col], partners[at + col])
+    single.settle()
+    assert np.array_equal(whole.scores, single.scores) and np.array_equal(whole.partners, single.partners)
+    wanted = [sorted(zip(-s, partners.tolist()))[:7] for s in scores]
+    assert whole.partners.tolist() == [[p for _, p in w] for w in wanted]
+
+
+def test_only_pairs_near_a_list_are_scored_as_doubles(monkeypatch):
+    random = np.random.default_rng(10)
+    vectors = random.normal(size=(3000, 12)) * random.uniform(1e-3, 1e3, size=(3000, 1))
+    dense = []
+    offer = BestK.offer
+    monkeypatch.setattr(BestK, "offer", lambda s, a, b: (dense.append(a.size), offer(s, a, b))[1])
+    for rule, k in ((Rule(LEFT, digits=6), 5), (Rule(RIGHT), 5), (Rule(None), 5), (Rule(None, single=True), 30)):
+        dense.clear()
+        best, left = BestK(500, k), side(np.arange(500), vectors[:500], True)
+        for at in range(0, 3000, 250):
+            right = side(np.arange(at, at + 250), vectors[at : at + 250], False)
+            offer_products(best, 0, left, np.arange(500), right, rule, np.full(500, -np.inf))
+        best.settle()
+        assert 0 < sum(dense) <= 500 * 3000 // 3
+        scores, counts = rule.finished(vectors[:500] @ vectors.T)
+        if rule.same:
+            counts[np.arange(500), np.arange(500)] = False
+        wanted = BestK(500, k)
+        offer(wanted, np.where(counts, scores, -np.inf), np.arange(3000))
+        assert np.array_equal(best.partners, wanted.partners)
+        assert np.allclose(best.scores, wanted.scores, rtol=1e-12)
