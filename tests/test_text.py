@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from shelfwise.operators import text_index
 from shelfwise.operators.cells import Grid
 from shelfwise.operators.search import bounded_relevant, leading_terms, relevant, source_terms, text_terms
 from shelfwise.operators.text_index import build_index, heavy_terms
@@ -166,3 +167,13 @@ def test_bounds_keep_postings_of_frequent_terms_away(spark):
     led = leading_terms(index, terms, ["features"], floor)
     df = {(r["term"], r["leads"]): r["df"] for r in led.collect()}
     assert df == {("the", False): 3000, ("rare", True): 60}
+
+
+def test_more_text_is_counted_by_more_tasks(spark, monkeypatch):
+    rows = [(k, f"name {k}", "some words of a text " * 20) for k in range(400)]
+    catalog = spark.createDataFrame(rows, "id long, name string, features string")
+    usual = text_index.postings(catalog)
+    monkeypatch.setattr(text_index, "TEXT_PER_TASK", 4_000)
+    cut = text_index.postings(catalog)
+    assert cut.rdd.getNumPartitions() > 20 * 8 / 4 >= usual.rdd.getNumPartitions()
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, usual.collect()))
