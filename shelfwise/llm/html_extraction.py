@@ -22,6 +22,8 @@ MENU_LINKS, MENU_SHARE = 3, 0.8
 LONG_RUN = 8
 #: A node with more children than this shows one list for each label, whatever their order.
 WIDE = 64
+#: Nodes of more children in a wrapper are aligned by their equal labels alone, not pair by pair.
+MANY = 4 * WIDE
 DEPTH = 100
 
 _SKIPPED = frozenset(
@@ -175,6 +177,9 @@ def _similarity(a: list, b: list) -> tuple[int, list]:
     own = 2 if a[TEXT] and a[TEXT] == b[TEXT] else 1
     if [c[LABEL] for c in x] == [c[LABEL] for c in y] and len({c[LABEL] for c in x}) == len(x):
         return own + sum(_similarity(c, d)[0] for c, d in zip(x, y)), [(k, k) for k in range(len(x))]
+    if len(x) > MANY or len(y) > MANY:
+        score, met = _aligned(x, y)
+        return own + score, met
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     pair = [[_similarity(c, d)[0] for d in y] for c in x]
     for i in range(1, len(x) + 1):
@@ -192,24 +197,85 @@ def _similarity(a: list, b: list) -> tuple[int, list]:
     return best[-1][-1] + own, met[::-1]
 
 
-def merged(a: list, b: list) -> list:
-    """The wrapper of both: aligned nodes become one, the others stay as optional ones.
-
-    A node keeps at most 4 ``WIDE`` children, those on most pages; what it forgets is no template.
-    """
+def _aligned(x: list, y: list) -> tuple[int, list]:
+    """As the table of ``_similarity``, for many children: only pairs of one label are looked at, by row,
+    and a tree of maxima has the best chain that ends left of a column."""
+    places: dict[str, list[int]] = {}
+    for j, d in enumerate(y):
+        places.setdefault(d[LABEL], []).append(j)
+    nothing = (0, -1)
+    tree = [nothing] * (len(y) + 1)
+    chains: list[tuple[int, int, int]] = []  # row, column, the chain before
+    for i, c in enumerate(x):
+        for j in reversed(places.get(c[LABEL], ())):
+            before, k = nothing, j
+            while k > 0:
+                before = max(before, tree[k])
+                k &= k - 1
+            chain = (before[0] + _similarity(c, y[j])[0], len(chains))
+            chains.append((i, j, before[1]))
+            k = j + 1
+            while k < len(tree):
+                tree[k] = max(tree[k], chain)
+                k += k & -k
+    best, k = nothing, len(y)
+    while k > 0:
+        best = max(best, tree[k])
+        k &= k - 1
+    met, at = [], best[1]
+    while at >= 0:
+        i, j, at = chains[at]
+        met.append((i, j))
+    return best[0], met[::-1]
+
+
+def merged(a: list, b: list, wide: list | None = None) -> list:
+    """The wrapper of both: aligned nodes become one, the others stay as optional ones, however many they
+    are. ``wide`` gets a mark for each node that both share and that has more than ``MANY`` children."""
     _, met = _similarity(a, b)
     children, i, j = [], 0, 0
     for p, q in [*met, (len(a[CHILDREN]), len(b[CHILDREN]))]:
         children += a[CHILDREN][i:p] + b[CHILDREN][j:q]
         if p < len(a[CHILDREN]) and q < len(b[CHILDREN]):
-            children.append(merged(a[CHILDREN][p], b[CHILDREN][q]))
+            children.append(merged(a[CHILDREN][p], b[CHILDREN][q], wide))
         i, j = p + 1, q + 1
-    if len(children) > 4 * WIDE:
-        most = sorted(range(len(children)), key=lambda k: (-children[k][PAGES], k))[: 2 * WIDE]
-        children = [children[k] for k in sorted(most)]
+    if wide is not None and len(children) > MANY:
+        wide.append(len(children))
     return [a[LABEL], a[PAGES] + b[PAGES], a[TEXT] if a[TEXT] == b[TEXT] else None, children]
 
 
+class Merger:
+    """One wrapper of those that are added one after the other.
+
+    A wrapper that has become wide is put aside and a new one begun; of those put aside the ones of
+    like page counts are merged, so that no page is compared with all the others' optional nodes.
+    """
+
+    def __init__(self):
+        self._aside: list[list] = []
+        self._open: list | None = None
+
+    def add(self, wrapper: list) -> None:
+        wide: list[int] = []
+        whole = wrapper if self._open is None else merged(self._open, wrapper, wide)
+        self._open = whole
+        if wide:
+            self._put_aside()
+
+    def _put_aside(self) -> None:
+        whole, self._open = self._open, None
+        while self._aside and self._aside[-1][PAGES] < 2 * whole[PAGES]:
+            whole = merged(self._aside.pop(), whole)
+        self._aside.append(whole)
+
+    def whole(self) -> list:
+        parts = [*self._aside, *([] if self._open is None else [self._open])]
+        whole = parts.pop()
+        while parts:
+            whole = merged(parts.pop(), whole)
+        return whole
+
+
 def wrapper_of(node: Node, depth: int = 0) -> list:
     """A page's tree as a wrapper. What lies deeper than ``DEPTH`` is not told apart."""
     children = []
@@ -233,23 +299,21 @@ def _unpacked(body: bytes) -> list:
 
 def _induce(batches):
     """The wrapper of each host's pages in this task."""
-    wrappers = {}
+    wrappers: dict[str, Merger] = {}
     for batch in batches:
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            new = wrapper_of(parse(html))
-            wrappers[host] = merged(wrappers[host], new) if host in wrappers else new
+            wrappers.setdefault(host, Merger()).add(wrapper_of(parse(html)))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(wrappers), pa.string()), pa.array([_packed(w) for w in wrappers.values()], pa.binary())],
+        [pa.array(list(wrappers), pa.string()), pa.array([_packed(w.whole()) for w in wrappers.values()], pa.binary())],
         names=["host", "wrapper"],
     )
 
 
 def _join(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    bodies = sorted(table.column("wrapper").to_pylist())
-    whole = _unpacked(bodies[0])
-    for body in bodies[1:]:
-        whole = merged(whole, _unpacked(body))
-    return pa.table({"host": [key[0].as_py()], "wrapper": pa.array([_packed(whole)], pa.binary())})
+    wrappers = Merger()
+    for body in sorted(table.column("wrapper").to_pylist()):
+        wrappers.add(_unpacked(body))
+    return pa.table({"host": [key[0].as_py()], "wrapper": pa.array([_packed(wrappers.whole())], pa.binary())})
 
 
 def _template_nodes(node: Node, wrapper: list, found: set) -> None:

@@ -1,4 +1,8 @@
+import numpy as np
+import pyarrow as pa
+import pytest
 from conftest import outcome
+from shelfwise.llm import html_extraction
 from shelfwise.llm.html_extraction import extract, extract_pages, merged, wrapper_of
 from shelfwise.llm.html_trees import parse
 
@@ -121,3 +125,47 @@ def test_long_pages_and_wide_hosts_end(spark):
     assert many[1].split("\n")[:2] == ["Head 0", "Text 1 of part 0"] and many[1].count("\n") == 39_999
     assert all(many[100 + k].split("\n")[:20] == [f"Words {k} {j}" for j in range(20)] for k in range(600))
     assert all(many[k] == few[k] for k in (0, 1, 2))
+
+
+def _brute_alignment(x, y):
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, c in enumerate(x, 1):
+        for j, d in enumerate(y, 1):
+            pair = html_extraction._similarity(c, d)[0]
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + pair)
+    return best[-1][-1]
+
+
+def test_children_without_number_are_kept_and_aligned():
+    random = np.random.default_rng(3)
+
+    def node(n, labels):
+        return ["div", 1, 0, [[f"p.{k}", 1, int(t), []] for k, t in zip(random.integers(0, labels, n), random.integers(0, 3, n))]]
+
+    for n, m, labels in ((300, 300, 40), (290, 20, 8), (5, 400, 300)):
+        a, b = node(n, labels), node(m, labels)
+        score, met = html_extraction._similarity(a, b)
+        assert score == 1 + _brute_alignment(a[3], b[3])
+        assert met == sorted(met) and all(a[3][i][0] == b[3][j][0] for i, j in met)
+        assert all(p < q and s < t for (p, s), (q, t) in zip(met, met[1:]))
+        whole = html_extraction.merged(a, b)
+        assert len(whole[3]) == n + m - len(met) and sum(c[1] for c in whole[3]) == n + m
+
+
+@pytest.mark.parametrize("pages_a_task", [1, 48])
+def test_a_rare_paragraph_among_many_optional_ones_is_template(pages_a_task):
+    note = "<p class='note'>Read this before you go on.</p>"
+    pages = []
+    for k in range(48):
+        boxes = "".join(f"<p class='w{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + i % 26)}{chr(97 + i // 26)}'>Text {k} {i}</p>" for i in range(50))
+        pages.append(f"<html><body><div>{boxes}{note if k % 6 == 5 else ''}</div></body></html>")
+    parts = []
+    for at in range(0, 48, pages_a_task):
+        some = pages[at : at + pages_a_task]
+        batch = pa.RecordBatch.from_pydict({"host": ["h"] * len(some), "html": some})
+        parts += [row for out in html_extraction._induce([batch]) for row in out.to_pylist()]
+    whole = html_extraction._join((pa.scalar("h"),), pa.Table.from_pylist(parts))
+    wrapper = html_extraction._unpacked(whole.column("wrapper")[0].as_py())
+    texts = [html_extraction.extract(page, wrapper) for page in pages]
+    assert not any("Read this" in text for text in texts)
+    assert all(len(text.split("\n")) == 50 for text in texts)
