@@ -4,8 +4,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from shelfwise.operators import text_index
+from shelfwise.operators import search, text_index
 from shelfwise.operators.cells import Grid
 from shelfwise.operators.search import bounded_relevant, leading_terms, relevant, source_terms, text_terms
 from shelfwise.operators.text_index import build_index, heavy_terms
@@ -177,3 +178,22 @@ def test_more_text_is_counted_by_more_tasks(spark, monkeypatch):
     cut = text_index.postings(catalog)
     assert cut.rdd.getNumPartitions() > 20 * 8 / 4 >= usual.rdd.getNumPartitions()
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, usual.collect()))
+
+
+def test_postings_are_shipped_to_few_blocks(spark, index):
+    """Blocks are bounded by memory, not by what a processor's cache holds."""
+    asked = spark.range(20_000).select("id", F.lit(1).alias("need"), F.explode(F.array(F.lit("w1"), F.lit("w2"))).alias("term"))
+    assert search._grid(index, asked, FIELDS, 10, 8).blocks == 1
+    many = spark.range(search.MAX_REQUESTS * 2 + 1).select("id", F.lit(1).alias("need"), F.lit("w1").alias("term"))
+    assert search._grid(index, many, FIELDS, 10, 8).blocks >= 3
+
+
+def test_few_requests_go_to_the_postings(spark, rows, index, monkeypatch):
+    """No shuffle of all postings for a handful of terms; the answers are those of the join by term."""
+    terms = text_terms(spark.createDataFrame([(1, "w1 the"), (2, "w50 w3")], "key long, text string"))
+    near = relevant(index, terms, FIELDS, 10, digits=6, grid=Grid(2, 2))
+    with monkeypatch.context() as patch:
+        patch.setattr(search, "join_by_term", None)
+        relevant(index, terms, FIELDS, 10, digits=6)
+    monkeypatch.setattr(search, "FEW_ROUTES", 0)
+    assert lists(near) == lists(relevant(index, terms, FIELDS, 10, digits=6, grid=Grid(2, 2)))
