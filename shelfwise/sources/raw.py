@@ -25,13 +25,14 @@ def compact_small_files(spark: SparkSession, source: str, target: str) -> None:
 
     A directory becomes ``category=<name>.json`` under ``target``, so that ``read_raw`` of the target
     reads them all and a name made of digits stays a text. Rebalancing joins small pieces and splits
-    a category that is larger than one task should write; the source stays as it is.
+    a category that is larger than one task should write; the source stays as it is. Files compressed by
+    gzip are read, too, and what is written is compressed, as text shrinks to a tenth.
     """
     path = F.col("_metadata.file_path")
     category = F.url_decode(F.regexp_replace(F.element_at(F.split(path, "/"), -2), r"\+", "%2B"))
-    lines = spark.read.text(f"{source.rstrip('/')}/*/*.json").select(
+    lines = spark.read.text(f"{source.rstrip('/')}/*/*.{{json,json.gz}}").select(
         "value", F.concat(category, F.lit(".json")).alias("category")
     )
     lines.hint("rebalance", F.col("category")).write.mode("overwrite").partitionBy(
         "category"
-    ).text(target)
+    ).text(target, compression="gzip")

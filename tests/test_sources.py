@@ -41,6 +41,22 @@ def test_a_large_directory_becomes_several_files(spark, tmp_path):
     assert counts["large.json"][0] == 40_000 and 1 < counts["large.json"][1] < 20
 
 
+def test_compressed_files_are_compacted_and_results_are_compressed(spark, tmp_path):
+    lines = spark.range(20_000).selectExpr("CAST(id % 2 AS STRING) AS category", "concat('{\"n\": ', id, '}') AS value")
+    lines.write.partitionBy("category").option("compression", "gzip").text(str(tmp_path / "text"))
+    for folder in (tmp_path / "text").glob("category=*"):
+        (tmp_path / "in" / folder.name).mkdir(parents=True)
+        for file in folder.glob("part-*"):
+            (tmp_path / "in" / folder.name / f"{file.name.split('.')[0]}.json.gz").write_bytes(file.read_bytes())
+    (tmp_path / "in" / "category=1" / "plain.json").write_text('{"n": -1}\n')
+    target = tmp_path / "out"
+    raw.compact_small_files(spark, str(tmp_path / "in"), str(target))
+    counts = {r[0]: r[1] for r in spark.read.text(str(target)).groupBy("category").count().collect()}
+    assert counts == {"category=0.json": 10_000, "category=1.json": 10_001}
+    assert raw.read_raw(spark, str(target)).count() == 20_001
+    assert sum(f.stat().st_size for f in target.rglob("part-*")) < 20_001 * 11 / 2
+
+
 def test_one_named_file(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.json").write_text(json.dumps({"ProductInfo": {"ProductID": name}}))

@@ -56,7 +56,7 @@ def _compacted(spark, folder):
     source, target = scratch_path(spark, "small"), scratch_path(spark, "compact")
     documents = inputs.raw_documents(spark, folder)
     category = F.regexp_extract("ProductInfo.Features", r"(\S+)$", 1)
-    documents.withColumn("category", category).write.partitionBy("category").json(source)
+    documents.withColumn("category", category).write.partitionBy("category").json(source, compression="gzip")
     raw.compact_small_files(spark, source, target)
     return target
 
