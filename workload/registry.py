@@ -228,10 +228,11 @@ def als_predict(spark, folder):
     unknown = triples.select("user").distinct().withColumn("item", F.lit(-1))
     fitted = model.fit_als(triples)
     factors = train.stored_factors(fitted)
-    pairs = model.predict(fitted, triples.select("user", "item").unionByName(unknown))
     u = factors.users.select(F.col("id").alias("user"), F.col("features").alias("a"))
     v = factors.items.select(F.col("id").alias("item"), F.col("features").alias("b"))
-    both = pairs.join(u, "user", "left").join(v, "item", "left")
+    # In the model's order, users first and then items, so that its joins and these share their shuffles.
+    asked = triples.select("user", "item").unionByName(unknown).join(u, "user", "left")
+    both = model.predict(fitted, asked).join(v, "item", "left")
     predicted = ~F.isnan("prediction")
     close = F.abs(F.col("prediction") - dot(F.col("a"), F.col("b"))) < 1e-4
     return both.select("user", "item", predicted.alias("predicted"), F.coalesce(close, ~predicted).alias("as_expected"))
