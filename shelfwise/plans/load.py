@@ -25,9 +25,8 @@ class Tables:
 
 def normalized(raw: DataFrame) -> Tables:
     """The three flat tables, as plans over ``raw``."""
-    parsed = normalize.parsed_documents(raw)
-    accepted = normalize.accepted_reviews(parsed)
-    return Tables(normalize.products(parsed), normalize.users(accepted), normalize.reviews(accepted))
+    accepted = normalize.accepted_reviews(raw)
+    return Tables(normalize.products(raw), normalize.users(accepted), normalize.reviews(accepted))
 
 
 def write_tables(raw: DataFrame, path: str) -> dict[str, int]:
@@ -39,8 +38,8 @@ def write_tables(raw: DataFrame, path: str) -> dict[str, int]:
     drops = Observation()
     with scratch(raw.sparkSession):
         parsed = staged(normalize.accounted_documents(raw, drops), "parsed")
-        accepted = normalize.accepted_reviews(parsed)
-        write_table(normalize.products(parsed), f"{path}/products", "id", also=("extId",))
+        accepted = normalize.accounted_reviews(parsed)
+        write_table(normalize.accounted_products(parsed), f"{path}/products", "id", also=("extId",))
         write_table(normalize.users(accepted), f"{path}/users", "id", also=("extId",))
         write_table(normalize.reviews(accepted), f"{path}/reviews", "productId", also=("userId",))
     return {cause: n or 0 for cause, n in drops.get.items()}
@@ -74,8 +73,8 @@ def add(raw: DataFrame, path: str) -> dict[str, int]:
     drops = Observation()
     with publishing(spark, f"{path}/{CATALOG}", upon=folders) as folder, scratch(spark):
         parsed = staged(normalize.accounted_documents(raw, drops), "parsed")
-        accepted = normalize.accepted_reviews(parsed)
-        write_table(normalize.products(parsed), f"{folder}/products", "id", also=("extId",))
+        accepted = normalize.accounted_reviews(parsed)
+        write_table(normalize.accounted_products(parsed), f"{folder}/products", "id", also=("extId",))
         write_table(_missing(normalize.users(accepted), old.users), f"{folder}/users", "id", also=("extId",))
         reviews = _missing(normalize.reviews(accepted), old.reviews)
         write_table(reviews, f"{folder}/reviews", "productId", also=("userId",))

@@ -1,7 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import Observation, functions as F
 
+from shelfwise.functions.reviews import MONTHS, review_date
 from shelfwise.operators import normalize
 from shelfwise.operators.ratings import build_ratings, distinct_ids
 from shelfwise.plans.load import load, normalized, read_products_index, read_tables
@@ -116,3 +118,30 @@ def test_schemas_and_stored_tables(spark, raw_of):
 def test_a_field_absent_from_all_files_reads_as_null(raw_of):
     row = normalized(raw_of({"ProductInfo": {"ProductID": "P1"}})).products.first()
     assert row["price"] is None and row["extId"] == "P1"
+
+
+def test_reviews_are_parsed_out_of_their_array(raw_of):
+    raw = raw_of(
+        document(None, review(), review(Date="garbage"), review(Author=None, Overall="five")),
+        document(review(Overall="five"), review(ReviewID="R2"), product="P2"), document(product="P3"),
+        {"ProductInfo": {"ProductID": "P4"}, "Reviews": None}, {"Reviews": [review()]},
+    )
+    drops = Observation()
+    parsed, accepted = normalize.accounted_documents(raw, drops), normalize.accepted_reviews(raw)
+    for df in (parsed, accepted):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "posexplode" in plan and "transform(Reviews" not in plan and "filter(Reviews" not in plan
+    rows = parsed.select("product.extId", "review.reviewId").collect()
+    assert sorted(r[0] for r in rows if r[0]) == ["P1", "P2", "P3", "P4"]
+    assert sorted(r[1] for r in rows if r[1]) == ["R1", "R2"]
+    assert drops.get == {
+        "documents": 5, "corrupt": 0, "no_product": 1, "reviews": 6, "no_review": 1, "no_author": 1, "bad_rating": 1,
+        "bad_date": 1, "kept": 2,
+    }
+    assert sorted(map(str, normalize.accounted_reviews(parsed).collect())) == sorted(map(str, accepted.collect()))
+
+
+def test_all_names_of_months(spark):
+    names = [(i + 1, name) for i, m in enumerate(MONTHS) for name in (m, m[:3], m.upper())]
+    df = spark.createDataFrame([(i, f"{name} 3, 2010") for i, name in names], "i int, t string")
+    assert all(i == month for i, month in df.select("i", F.month(review_date(F.col("t")))).collect())
