@@ -132,6 +132,34 @@ def test_limits_lose_few_good_ones():
     assert ngram_models.best_limit(good, bad[:3], -7.0) == ngram_models.best_limit(good[:3], bad, -7.0) == -7.0
 
 
+def test_limits_of_tables_are_those_of_arrays(spark):
+    rng = np.random.default_rng(5)
+    values = [("a", float(v), 1, 0) for v in np.round(rng.normal(1, 1, 400), 2)]
+    values += [("a", float(v), 0, 1) for v in np.round(rng.normal(-1, 1, 300), 2)]
+    values += [("b", float(v), 1, int(v > 7)) for v in range(9)]
+    values += [("c", 0.5, 1, 1) for _ in range(20)]
+    table = spark.createDataFrame(values, "name string, value double, good int, bad int")
+    expected = {
+        n: ngram_models.best_limit(
+            np.array([v for m, v, g, _ in values if m == n and g]), np.array([v for m, v, _, b in values if m == n and b]), -7.0
+        ) for n in "abcd"
+    }
+    assert ngram_models.best_limits(table, dict.fromkeys("abcd", -7.0)) == expected
+    assert expected["a"] > -2 and expected["b"] == expected["d"] == -7.0 and expected["c"] == -0.5
+
+
+def test_models_use_the_labels_of_any_number_of_documents(spark):
+    """The labelled documents with texts come after 20,600 others in the order of their ids' hashes."""
+    ids = spark.range(21_000).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("id")).toPandas()["doc_id"]
+    last = spark.createDataFrame([(k, int(i)) for k, i in enumerate(ids[-400:])], "k long, id long")
+    docs, labels = junk_and_prose(spark)
+    docs, labels = (t.join(last, F.col("doc_id") == F.col("k")).drop("doc_id", "k").withColumnRenamed("id", "doc_id") for t in (docs, labels))
+    rest = spark.createDataFrame([(int(i), 1, 0) for i in ids[:-400]], "doc_id long, quality int, toxic int")
+    known = labels.select("doc_id", "quality", "toxic").unionByName(rest)
+    kept = apply_rules(docs, known).join(labels, "doc_id").select("kept", "quality").collect()
+    assert len(kept) == 400 and all(r.kept == (r.quality == 1) for r in kept)
+
+
 def test_trusted_ids_are_bounded_and_unanimous(spark):
     rows = [(k, 1, 0) for k in range(50)] + [(3, 0, 0), (4, 1, 1), (5, 1, None), (None, 1, 0)]
     labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
