@@ -10,14 +10,14 @@ CORRUPT = "_corrupt_record"
 
 
 def read_raw(spark: SparkSession, folder: str, file: str | None = None) -> DataFrame:
-    """All ``*.json`` of a folder, files or folders of files, or one that is named.
+    """All ``*.json`` and ``*.json.gz`` of a folder, files or folders of files, or one that is named.
 
     The fixed schema saves the inference pass. A line that is no JSON object is a row of nulls with its
     text in ``CORRUPT``.
     """
     schema = StructType([*RAW_DOCUMENT.fields, StructField(CORRUPT, StringType())])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.json(f"{folder.rstrip('/')}/{file or '*.json'}")
+    return reader.json(f"{folder.rstrip('/')}/{file or '*.{json,json.gz}'}")
 
 
 def compact_small_files(spark: SparkSession, source: str, target: str) -> None:

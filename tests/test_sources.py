@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import scratch, scratch_path, staged
 from shelfwise.sources import raw, requests, tables
+from workload import inputs
 
 
 def test_compaction_gathers_the_lines_of_each_directory(spark, tmp_path):
@@ -57,6 +58,44 @@ def test_compressed_files_are_compacted_and_results_are_compressed(spark, tmp_pa
     assert sum(f.stat().st_size for f in target.rglob("part-*")) < 20_001 * 11 / 2
 
 
+def test_raw_files_may_be_compressed(spark, tmp_path):
+    documents = spark.range(50).select(F.struct(F.col("id").cast("string").alias("ProductID")).alias("ProductInfo"))
+    documents.write.json(str(tmp_path / "raw"), compression="gzip")
+    (tmp_path / "raw" / "plain.json").write_text(json.dumps({"ProductInfo": {"ProductID": "50"}}))
+    (tmp_path / "raw" / "notes.txt").write_text("{}")
+    found = raw.read_raw(spark, str(tmp_path / "raw")).select("ProductInfo.ProductID").collect()
+    assert sorted(int(r[0]) for r in found) == list(range(51))
+
+
+def test_gathered_documents_travel_no_more(spark, tmp_path):
+    """Lines and products meet where the lines are gathered, so that only slim rows are shuffled."""
+    lines = [(o, p, n, 10.0 * n, "A", "F") for o in (1, 10_001, 20_001) for p in (1, 2) for n in (1, 7)]
+    dated = spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string"
+    ).withColumn("l_shipdate", F.lit("2010-02-03").cast("date"))
+    made = {
+        "lineitem": dated,
+        "orders": spark.createDataFrame([(o, 5) for o in (1, 10_001, 20_001)], "o_orderkey long, o_custkey long"),
+        "customer": spark.createDataFrame([(5, "Ann")], "c_custkey long, c_name string"),
+        "part": spark.createDataFrame(
+            [(k, "n", "b", "t", 1, 2.5) for k in (1, 2, 3)],
+            "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+        ),
+    }
+    for name, table in made.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        documents = inputs.raw_documents(spark, str(tmp_path))
+        plan = documents._jdf.queryExecution().executedPlan().toString()
+        found = documents.select("ProductInfo.ProductID", F.size("Reviews").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.split("collect_list")[0].count("Exchange hashpartitioning(") == 1
+    assert sorted((r.ProductID, r.n) for r in found) == [("P1", 2)] * 3 + [("P2", 2)] * 3 + [("P3", None)]
+
+
 def test_one_named_file(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.json").write_text(json.dumps({"ProductInfo": {"ProductID": name}}))

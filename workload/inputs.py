@@ -15,10 +15,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _lines(spark, folder):
-    """Order lines with their customer, placed by the document they belong to.
+    """Order lines with their customer, placed by the product they belong to.
 
-    Placing them while they are slim leaves the text building and the gathering to all tasks. Orders, which
-    are fewer, get their customers first, so that lines travel once for both.
+    Placing them while they are slim leaves the text building and the gathering to all tasks, and the
+    documents, which are wide, meet their products where they are gathered. Orders, which are fewer, get
+    their customers first, so that lines travel once for both.
     """
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
@@ -27,7 +28,7 @@ def _lines(spark, folder):
     return (
         lines.join(named, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("batch", F.expr(f"l_orderkey div {ORDERS_PER_BATCH}"))
-        .repartition("l_partkey", "batch")
+        .repartition("l_partkey")
     )
 
 

@@ -41,7 +41,7 @@ def _stored(spark, folder):
 
 def raw_json_roundtrip(spark, folder):
     path = scratch_path(spark, "raw")
-    inputs.raw_documents(spark, folder).write.json(path)
+    inputs.raw_documents(spark, folder).write.option("zlib.compress.level", "BEST_SPEED").json(path, compression="gzip")
     return (
         raw.read_raw(spark, path)
         .groupBy(F.col("ProductInfo.ProductID").alias("ext_id"))
